@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from breachline.plans import cleaning_queries, quality_queries  # noqa: F401
+from breachline.plans import cleaning_queries, feature_queries, quality_queries  # noqa: F401
 from breachline.plans.registry import PLANS, SQL
 
 __all__ = ["PLANS", "SQL"]
