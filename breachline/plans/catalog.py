@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from breachline.plans import cleaning_queries, feature_queries, quality_queries  # noqa: F401
+from breachline.plans import (  # noqa: F401
+    cleaning_queries,
+    dashboard_queries,
+    evaluation_queries,
+    feature_queries,
+    quality_queries,
+)
 from breachline.plans.registry import PLANS, SQL
 
 __all__ = ["PLANS", "SQL"]
