@@ -109,14 +109,16 @@ def cumulative_counts_by_score(
 def ranking_summary(cumulative: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Trapezoid ROC-AUC and step-wise average precision per model.
 
-    ROC-AUC is NULL for a constant score and where one class is absent.
+    Both are NULL for a constant score, and NULL where a class they need is absent.
     """
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2))
     pos, neg = F.sum("pos"), F.sum("neg")
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     return cumulative.groupBy(*by).agg(
         F.when(F.count(F.lit(1)) > 1, F.try_divide(area, pos.cast("double") * neg)).alias("roc_auc"),
-        F.try_divide(F.sum(F.col("pos") * precision), pos).alias("average_precision"),
+        F.when(F.count(F.lit(1)) > 1, F.try_divide(F.sum(F.col("pos") * precision), pos)).alias(
+            "average_precision"
+        ),
         pos.alias("n_pos"),
         neg.alias("n_neg"),
     )

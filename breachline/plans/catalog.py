@@ -7,6 +7,7 @@ from breachline.plans import (  # noqa: F401
     dashboard_queries,
     evaluation_queries,
     feature_queries,
+    model_queries,
     quality_queries,
 )
 from breachline.plans.registry import PLANS, SQL

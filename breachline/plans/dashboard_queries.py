@@ -90,7 +90,7 @@ def duration_histogram(spark, sf_dir):
 
 @query(
     f"""WITH {JUDGED}
-SELECT agency, max(sla_days) AS zone_start, max(resolution_time_days) AS zone_end, count_if(resolution_time_days > sla_days) AS n_in_zone
+SELECT agency, max(sla_days) AS zone_start, max(resolution_time_days) AS zone_end, count(*) FILTER (WHERE resolution_time_days > sla_days) AS n_in_zone
 FROM judged GROUP BY agency"""
 )
 def risk_zones(spark, sf_dir):

@@ -533,7 +533,7 @@ _ROUNDED_GOLD = [
 
 def gold(spark, sf_dir):
     """Gold features of the fixture and the maps fitted for them."""
-    base = silver(spark, sf_dir)
+    base = cut(silver(spark, sf_dir), "silver")
     return X.build_features(
         L.temporal_split(base, "created_ts"), fixture_lookup(spark), COLS, fold=fold(), keep=("request_key",)
     )
@@ -602,7 +602,8 @@ rate, g_density, g_volume"""
 def serving_features(spark, sf_dir):
     """What the scorer sees for the test requests: stored maps and defaults only."""
     _, fitted = gold(spark, sf_dir)
-    test = L.temporal_split(silver(spark, sf_dir), "created_ts").where(F.col("split") == "test")
+    base = cut(silver(spark, sf_dir), "silver")
+    test = L.temporal_split(base, "created_ts").where(F.col("split") == "test")
     served = X.serving_features(test, fitted, fixture_lookup(spark), COLS)
     shown = [
         "request_key", "sla_days", "penalty_amount_usd", "hora_sen", "hora_cos", "dia_semana_sen",

@@ -22,6 +22,7 @@ from breachline.operators.cleaning import (
 )
 from breachline.operators.joins import lookup_join
 from breachline.operators.splitting import temporal_split
+from breachline.settings import cut
 from breachline.sources.lookup import inline_lookup
 
 # Contract terms of the fixture's agencies; "5-LOW" has none on purpose.
@@ -172,7 +173,8 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return temporal_split(judged(spark, sf_dir), "created_ts")
+    """The cuts and the split read the judged requests twice, so they are written first."""
+    return temporal_split(cut(judged(spark, sf_dir), "judged"), "created_ts")
 
 
 JUDGED = (
