@@ -4,47 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from breachline.operators.joins import attach
 from breachline.operators.ordering import prefix_sums
+from breachline.settings import cut
 
-ALL_FOLDS = -1
 
-
-def target_means(train: DataFrame, column: str, target: str) -> DataFrame:
-    """(key, value): mean target per category over all training rows."""
+def fold_sums(train: DataFrame, columns: Sequence[str], target: str, fold: Column) -> DataFrame:
+    """(column, key, fold, s, c): known targets and their sum, for several columns in one pass."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("key"))
+            for c in columns
+        ]
+    )
+    long = train.select(F.col(target).alias("y"), fold.alias("fold"), F.inline(pairs))
     return (
-        train.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("key"))
-        .agg(F.avg(target).alias("value"))
+        long.where(F.col("key").isNotNull())
+        .groupBy("column", "key", "fold")
+        .agg(F.coalesce(F.sum("y"), F.lit(0)).alias("s"), F.count("y").alias("c"))
     )
 
 
-def out_of_fold_means(train: DataFrame, column: str, target: str, fold: str) -> DataFrame:
-    """(key, fold, value): mean target of the category's rows outside the fold.
+def target_means(sums: DataFrame) -> DataFrame:
+    """(column, key, value): mean target per category over all training rows."""
+    mean = F.try_divide(F.sum("s").cast("double"), F.sum("c"))
+    return sums.groupBy("column", "key").agg(mean.alias("value"))
+
+
+def out_of_fold_means(sums: DataFrame) -> DataFrame:
+    """(column, key, fold, value): mean target of the category's rows outside the fold.
 
-    NULL where the other folds hold no known target. One aggregation per (category, fold);
-    the window then sees at most one row per fold.
+    NULL where the other folds hold no known target. A window sees one row per fold.
     """
-    per_fold = (
-        train.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("key"), F.col(fold).alias("fold"))
-        .agg(
-            F.coalesce(F.sum(target), F.lit(0)).alias("s"),
-            F.count(target).alias("c"),
-        )
-    )
-    whole = Window.partitionBy("key")
+    whole = Window.partitionBy("column", "key")
     others = F.sum("c").over(whole) - F.col("c")
     mean = F.try_divide((F.sum("s").over(whole) - F.col("s")).cast("double"), others)
-    return per_fold.select("key", "fold", mean.alias("value"))
+    return sums.select("column", "key", "fold", mean.alias("value"))
 
 
-def _attach_encoding(df: DataFrame, table: DataFrame, column: str, name: str, fallback) -> DataFrame:
-    keys = [k for k in ("key", "fold") if k in table.columns]
-    joined = attach(df.withColumn("key", F.col(column).cast("string")), table, keys)
+def _attach_encoding(
+    df: DataFrame, table: DataFrame, column: str, name: str, fallback, settled: bool = False
+) -> DataFrame:
+    keyed = df.withColumn("key", F.col(f"`{column}`").cast("string"))
+    joined = attach(keyed, table.select("key", "value"), "key", settled=settled)
     return joined.withColumn(name, F.coalesce("value", fallback)).drop("key", "value")
 
 
@@ -53,8 +58,9 @@ def target_encode_oof(
 ) -> DataFrame:
     """Encode training rows by the targets of the other folds; otherwise the overall mean."""
     overall = train.agg(F.avg(target)).scalar()
-    table = out_of_fold_means(train, column, target, fold).withColumnRenamed("fold", "_fold")
-    keyed = train.withColumns({"key": F.col(column).cast("string"), "_fold": F.col(fold)})
+    sums = fold_sums(train, [column], target, F.col(fold))
+    table = out_of_fold_means(sums).drop("column").withColumnRenamed("fold", "_fold")
+    keyed = train.withColumns({"key": F.col(f"`{column}`").cast("string"), "_fold": F.col(fold)})
     joined = attach(keyed, table, ["key", "_fold"])
     return joined.withColumn(name or f"{column}_te", F.coalesce("value", overall)).drop(
         "key", "_fold", "value"
@@ -66,9 +72,8 @@ def target_encode_full(
 ) -> DataFrame:
     """Encode other rows by all training targets; unseen categories take the overall mean."""
     overall = train.agg(F.avg(target)).scalar()
-    return _attach_encoding(
-        df, target_means(train, column, target), column, name or f"{column}_te", overall
-    )
+    means = target_means(fold_sums(train, [column], target, F.lit(0)))
+    return _attach_encoding(df, means, column, name or f"{column}_te", overall)
 
 
 def category_counts(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -91,11 +96,11 @@ def category_index(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def index_categories(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_idx``; unseen categories and NULL share the index after the last one."""
-    index = category_index(train, columns)
+    index = cut(category_index(train, columns), "index")
     for column in columns:
-        own = index.where(F.col("column") == column).select("key", "value")
-        size = train.agg(F.count_distinct(f"`{column}`").cast("double")).scalar()
-        df = _attach_encoding(df, own, column, f"{column}_idx", size)
+        own = index.where(F.col("column") == column)
+        size = own.agg(F.count(F.lit(1)).cast("double")).scalar()
+        df = _attach_encoding(df, own, column, f"{column}_idx", size, settled=True)
     return df
 
 

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from breachline.operators.joins import attach
 from breachline.operators.ordering import global_row_index, prefix_sums
 
 BY = ("model",)
@@ -102,7 +101,10 @@ def score_counts(pred: DataFrame, by: Sequence[str] = BY, y: str = "y", score: s
 def cumulative_counts_by_score(
     pred: DataFrame, by: Sequence[str] = BY, y: str = "y", score: str = "score"
 ) -> DataFrame:
-    """Add ``cum_pos`` and ``cum_neg``: hits and false alarms from this score upwards."""
+    """Add ``cum_pos`` and ``cum_neg``: hits and false alarms from this score upwards.
+
+    ``all_pos`` and ``all_neg`` hold the model's totals.
+    """
     return prefix_sums(score_counts(pred, by, y, score), [F.desc("score")], ["pos", "neg"], by=by)
 
 
@@ -128,21 +130,13 @@ def ranking_metrics(pred: DataFrame, by: Sequence[str] = BY, y: str = "y", score
     return ranking_summary(cumulative_counts_by_score(pred, by, y, score), by)
 
 
-def _with_totals(cumulative: DataFrame, by: Sequence[str]) -> DataFrame:
-    totals = cumulative.groupBy(*by).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    if by:
-        return attach(cumulative, totals, list(by))
-    both = totals.select(F.struct("_pos", "_neg")).scalar()
-    return cumulative.withColumns({"_pos": both["_pos"], "_neg": both["_neg"]})
-
-
 def roc_curve(cumulative: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score; each curve starts at the origin."""
-    points = _with_totals(cumulative, by).select(
+    points = cumulative.select(
         *by,
         F.col("score").alias("threshold"),
-        _ratio(F.col("cum_neg"), F.col("_neg"), None).alias("fpr"),
-        _ratio(F.col("cum_pos"), F.col("_pos"), None).alias("tpr"),
+        _ratio(F.col("cum_neg"), F.col("all_neg"), None).alias("fpr"),
+        _ratio(F.col("cum_pos"), F.col("all_pos"), None).alias("tpr"),
     )
     origin = cumulative.select(*by).distinct() if by else cumulative.limit(1)
     start = origin.select(
@@ -156,10 +150,10 @@ def roc_curve(cumulative: DataFrame, by: Sequence[str] = BY) -> DataFrame:
 
 def pr_curve(cumulative: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """(threshold, recall, precision) at every distinct score."""
-    return _with_totals(cumulative, by).select(
+    return cumulative.select(
         *by,
         F.col("score").alias("threshold"),
-        _ratio(F.col("cum_pos"), F.col("_pos"), None).alias("recall"),
+        _ratio(F.col("cum_pos"), F.col("all_pos"), None).alias("recall"),
         _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"), None).alias("precision"),
     )
 

@@ -12,7 +12,7 @@ from breachline.functions import times
 from breachline.functions.geo import haversine_km
 from breachline.functions.sla import breach_by_contract, penalty_charged, smoothed_ratio, stable_fold
 from breachline.functions.text import joined_key
-from breachline.operators.encoding import category_index, out_of_fold_means, target_means
+from breachline.operators.encoding import category_index, fold_sums, out_of_fold_means, target_means
 from breachline.operators.joins import lookup_join
 from breachline.operators.statistics import (
     daily_volume,
@@ -25,7 +25,7 @@ from breachline.operators.statistics import (
 from breachline.settings import PERCENTILE_ACCURACY, cut, work_folder
 from breachline.sources.mappings import (
     Fitted,
-    as_map,
+    as_maps,
     load_mappings,
     save_feature_order,
     save_globals,
@@ -165,19 +165,43 @@ def _distance(cols: RequestColumns) -> Column:
 
 
 def _history_maps(train: DataFrame, cols: RequestColumns, accuracy: int) -> list[DataFrame]:
-    days = "resolution_time_days"
-    by_type = group_stats(train, cols.complaint_type, days, accuracy)
-    maps = [
-        as_map(by_type, f"{stat}_complaint_type", stat, cols.complaint_type)
-        for stat in ("avg_dias", "std_dias", "p75_dias")
+    """Duration statistics: by type, and the means of all other keys in one aggregation."""
+    by_type = group_stats(train, cols.complaint_type, "resolution_time_days", accuracy)
+    stats = {f"{stat}_complaint_type": stat for stat in ("avg_dias", "std_dias", "p75_dias")}
+    means = {
+        "avg_dias_agency": cols.agency,
+        "avg_dias_borough": cols.borough,
+        "avg_dias_zip": cols.zip_code,
+    }
+    keys = F.array(
+        *[
+            F.struct(F.lit(name).alias("map_name"), F.col(f"`{c}`").cast("string").alias("key"))
+            for name, c in means.items()
+        ]
+    )
+    long = train.select("resolution_time_days", F.inline(keys))
+    by_key = group_mean(long, ["map_name", "key"], "resolution_time_days", "value")
+    return [
+        as_maps(by_type, stats, cols.complaint_type),
+        by_key.select("key", F.lit(None).cast("string").alias("key_2"), "value", "map_name").dropna(
+            subset=["key", "value"]
+        ),
+    ]
+
+
+def _encoding_maps(train: DataFrame, cols: RequestColumns, fold: Column) -> list[DataFrame]:
+    """Category indices, and target means out of each fold and over all rows."""
+    sums = fold_sums(train, cols.encoded, "target", fold)
+    parts = out_of_fold_means(sums).withColumn("fold", F.col("fold").cast("string"))
+    whole = target_means(sums).withColumn("fold", F.lit(ALL_ROWS))
+    index = category_index(train, cols.indexed).withColumn("fold", F.lit(None).cast("string"))
+    tagged = [(parts, "_te"), (whole, "_te"), (index, "_idx")]
+    return [
+        table.select(
+            "key", F.col("fold").alias("key_2"), "value", F.concat("column", F.lit(end)).alias("map_name")
+        ).where(F.col("value").isNotNull())
+        for table, end in tagged
     ]
-    for name, column in (
-        ("avg_dias_agency", cols.agency),
-        ("avg_dias_borough", cols.borough),
-        ("avg_dias_zip", cols.zip_code),
-    ):
-        maps.append(as_map(group_mean(train, column, days, name), name, name, column))
-    return maps
 
 
 def fit_features(
@@ -195,37 +219,22 @@ def fit_features(
     spark = train.sparkSession
     path = path or f"{work_folder(spark)}/breachline/fitted-{uuid.uuid4().hex}"
     fold = stable_fold(F.col(cols.key)) if fold is None else fold
-    dated = train.withColumns({"_day": F.to_date(cols.created), "_fold": fold}).withColumn(
-        "_day_no", times.day_number(F.col("_day"))
+    day_no = times.day_number(F.to_date(cols.created))
+    density = cut(
+        rolling_range_sum(train.withColumn("_day", day_no), cols.zip_code, "_day"), "density"
     )
-
-    density = cut(rolling_range_sum(dated, cols.zip_code, "_day_no"), "density")
+    by_zip = group_median(density, cols.zip_code, "densidad_zip_30d", "median", accuracy)
     volume = daily_volume(train, cols.created)
     centroids = group_centroid(train, [cols.agency, cols.borough], cols.latitude, cols.longitude)
     pair = (cols.agency, cols.borough)
-
-    maps = _history_maps(train, cols, accuracy)
-    maps += [as_map(centroids, c, c, *pair) for c in ("centroid_lat", "centroid_lon")]
-    maps += [
-        as_map(density, "densidad_zip_dia", "densidad_zip_30d", cols.zip_code, "_day_no"),
-        as_map(
-            group_median(density, cols.zip_code, "densidad_zip_30d", "median", accuracy),
-            "densidad_zip",
-            "median",
-            cols.zip_code,
-        ),
-        as_map(volume, "quejas_por_dia", "quejas_por_dia", "day"),
-    ]
-    index = category_index(train, cols.indexed)
-    maps += [
-        as_map(index.where(F.col("column") == c), f"{c}_idx", "value", "key") for c in cols.indexed
+    maps = [
+        *_history_maps(train, cols, accuracy),
+        *_encoding_maps(train, cols, fold),
+        as_maps(centroids, {c: c for c in ("centroid_lat", "centroid_lon")}, *pair),
+        as_maps(density, {"densidad_zip_dia": "densidad_zip_30d"}, cols.zip_code, "_day"),
+        as_maps(by_zip, {"densidad_zip": "median"}, cols.zip_code),
+        as_maps(volume, {"quejas_por_dia": "quejas_por_dia"}, "day"),
     ]
-    for column in cols.encoded:
-        whole = target_means(train, column, "target").withColumn("fold", F.lit(ALL_ROWS))
-        parts = out_of_fold_means(dated, column, "target", "_fold").withColumn(
-            "fold", F.col("fold").cast("string")
-        )
-        maps.append(as_map(parts.unionByName(whole), f"{column}_te", "value", "key", "fold"))
     save_mappings(union_maps(maps), path)
 
     valid = F.when(F.col("resolution_time_days") >= 0, F.col("resolution_time_days"))
@@ -249,7 +258,7 @@ def fit_features(
     distances = group_median(
         placed.withColumn("_km", _distance(cols)), list(pair), "_km", "median", accuracy
     )
-    save_mappings(as_map(distances, "dist_km_agencia", "median", *pair), path, mode="append")
+    save_mappings(as_maps(distances, {"dist_km_agencia": "median"}, *pair), path, mode="append")
     save_feature_order(spark, feature_names(cols), path)
     return load_mappings(spark, path)
 

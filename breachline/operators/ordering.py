@@ -55,7 +55,7 @@ def prefix_sums(
     by: Sequence[str] = (),
     blocks: int | None = None,
 ) -> DataFrame:
-    """Add ``cum_<x>``: the sum of ``x`` up to and including the row, per ``by`` group.
+    """Add ``cum_<x>`` and ``all_<x>``: the sum of ``x`` up to the row, and over its group.
 
     The order must be unique inside a group: aggregate ties before calling.
     """
@@ -63,8 +63,12 @@ def prefix_sums(
     placed = ordered_blocks(df, [*map(F.col, by), *order], blocks)
     totals = placed.groupBy(*by, "_block").agg(*[F.sum(x).alias(x) for x in sums])
     before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     starts = totals.select(
-        *by, "_block", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"_start_{x}") for x in sums]
+        *by,
+        "_block",
+        *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"_start_{x}") for x in sums],
+        *[F.sum(x).over(whole).alias(f"all_{x}") for x in sums],
     )
     if not by or starts.count() <= BROADCAST_ROWS:
         starts = F.broadcast(starts)
@@ -97,15 +101,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
 
     Works from running counts of distinct values, so no column is gathered in one task.
     """
-    counted = cut(value_counts(df, columns), "value-counts")
-    sizes = counted.groupBy("columna").agg(F.sum("n").alias("_rows"))
-    running = prefix_sums(counted, [F.col("value")], ["n"], by=["columna"]).join(
-        F.broadcast(sizes), "columna"  # one row per column
-    )
+    running = prefix_sums(value_counts(df, columns), [F.col("value")], ["n"], by=["columna"])
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
     picks, results = [], []
     for i, share in enumerate(shares):
-        place = (F.col("_rows") - 1) * F.lit(share)
+        place = (F.col("all_n") - 1) * F.lit(share)
         for end, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             picks.append(F.max(F.when(at.between(first, last), F.col("value"))).alias(f"_{end}{i}"))
         picks.append(F.first(place - F.floor(place)).alias(f"_w{i}"))

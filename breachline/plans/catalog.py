@@ -9,6 +9,7 @@ from breachline.plans import (  # noqa: F401
     feature_queries,
     model_queries,
     quality_queries,
+    source_queries,
 )
 from breachline.plans.registry import PLANS, SQL
 

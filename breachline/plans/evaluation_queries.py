@@ -91,7 +91,7 @@ def label_confusion(spark, sf_dir):
     return rounded(matrix.where(F.col("count") > 0))
 
 
-@query(f"WITH {COUNTS} SELECT model, score, pos, neg, CAST(cum_pos AS BIGINT) AS cum_pos, CAST(cum_neg AS BIGINT) AS cum_neg FROM cum")
+@query(f"WITH {COUNTS} SELECT cum.model, score, pos, neg, CAST(cum_pos AS BIGINT) AS cum_pos, CAST(cum_neg AS BIGINT) AS cum_neg, CAST(p AS BIGINT) AS all_pos, CAST(n AS BIGINT) AS all_neg FROM cum JOIN tot ON tot.model = cum.model")
 def cumulative_counts(spark, sf_dir):
     return V.cumulative_counts_by_score(predictions(spark, sf_dir))
 

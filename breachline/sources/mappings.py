@@ -8,7 +8,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -20,15 +20,22 @@ from breachline.settings import BROADCAST_ROWS
 MAP_SCHEMA = "key string, key_2 string, value double, map_name string"
 
 
-def as_map(table: DataFrame, name: str, value: str, *keys: str) -> DataFrame:
-    """One fitted table in long form; unknown keys and values are left out."""
+def as_maps(table: DataFrame, values: Mapping[str, str], *keys: str) -> DataFrame:
+    """Columns of a fitted table in long form, as ``{map name: column}``.
+
+    Unknown keys and values are left out.
+    """
     second = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit(None).cast("string")
-    return table.select(
-        F.col(keys[0]).cast("string").alias("key"),
-        second.alias("key_2"),
-        F.col(value).cast("double").alias("value"),
-        F.lit(name).alias("map_name"),
-    ).dropna(subset=["key", "value", *(["key_2"] if len(keys) > 1 else [])])
+    entries = F.array(
+        *[
+            F.struct(F.col(column).cast("double").alias("value"), F.lit(name).alias("map_name"))
+            for name, column in values.items()
+        ]
+    )
+    long = table.select(
+        F.col(keys[0]).cast("string").alias("key"), second.alias("key_2"), F.inline(entries)
+    )
+    return long.dropna(subset=["key", "value", *(["key_2"] if len(keys) > 1 else [])])
 
 
 def nested_lookup_to_table(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -73,7 +80,9 @@ class Fitted:
         if len(names) == 1:
             wide = rows.select("key", "key_2", F.col("value").alias(names[0]))
         else:
-            wide = rows.groupBy("key", "key_2").pivot("map_name", list(names)).agg(F.first("value"))
+            wide = rows.groupBy("key", "key_2").agg(
+                *[F.max(F.when(F.col("map_name") == n, F.col("value"))).alias(n) for n in names]
+            )
         renamed = wide.withColumnsRenamed(dict(zip(("key", "key_2"), keys)))
         return renamed if len(keys) == 2 else renamed.drop("key_2")
 
