@@ -11,9 +11,11 @@ from breachline.operators import features as X
 from breachline.operators import ordering as O
 from breachline.operators import splitting as L
 from breachline.operators import statistics as S
+from breachline.plans import pipelines
 from breachline.plans.fixture import (
     JUDGED,
     REQUESTS,
+    SILVER,
     SPLITS,
     fixture_lookup,
     judged,
@@ -286,6 +288,40 @@ def rolling_density(spark, sf_dir):
     return S.rolling_range_sum(df, "l_suppkey", "day")
 
 
+@query(
+    f"""WITH {JUDGED},
+p AS (SELECT complaint_type, quantile_disc(resolution_time_days, 0.75) AS p75 FROM judged WHERE resolution_time_days >= 0.001 GROUP BY 1)
+SELECT request_key, round(resolution_time_days, 6) AS resolution_time_days, round(p75, 6) AS p75_resolution_time_days,
+       CASE WHEN resolution_time_days > p75 THEN 1 ELSE 0 END AS is_sla_non_compliant, sla_days AS official_sla_days,
+       coalesce(target, 0) AS is_overdue_official, hour(created_ts) AS created_hour, dayofweek(created_ts) + 1 AS created_day_of_week_num,
+       month(created_ts) AS created_month, year(created_ts) AS created_year, strftime(created_ts, '%Y-%m-%d') AS created_date_only,
+       dayname(created_ts) AS created_day_of_week_name
+FROM judged LEFT JOIN p USING (complaint_type)"""
+)
+def gold_eda_table(spark, sf_dir):
+    """Silver enriched for the charts."""
+    base = cut(silver(spark, sf_dir), "silver")
+    eda = pipelines.gold_eda(
+        base, fixture_lookup(spark), "created_ts", "closed_ts", "complaint_type", "agency"
+    )
+    added = [c for c in eda.columns if c not in base.columns and not c.endswith("timestamp")]
+    return rounded(eda.select("request_key", *added))
+
+
+@query(
+    f"""WITH {SILVER},
+v AS (SELECT request_key, created_ts, date_diff('day', CAST(created_ts AS DATE), CAST(closed_ts AS DATE)) AS dias_resolucion FROM silver),
+k AS (SELECT * FROM v WHERE dias_resolucion >= 0),
+c AS (SELECT quantile_disc(CAST(epoch(created_ts) AS BIGINT), 0.7) AS a, quantile_disc(CAST(epoch(created_ts) AS BIGINT), 0.85) AS b FROM k)
+SELECT request_key, dias_resolucion, strftime(created_ts, '%Y-%m-%d') AS fecha_creacion,
+       CASE WHEN epoch(created_ts) <= a THEN 'train' WHEN epoch(created_ts) <= b THEN 'val' ELSE 'test' END AS split FROM k, c"""
+)
+def split_layer(spark, sf_dir):
+    """Closed requests with their whole days and split."""
+    parts = pipelines.split_silver(silver(spark, sf_dir), "created_ts", "closed_ts")
+    return rounded(parts.select("request_key", "dias_resolucion", "fecha_creacion", "split"))
+
+
 # ---- positions, folds and splits -------------------------------------------------------
 
 

@@ -13,7 +13,9 @@ from breachline.operators import features as X
 from breachline.operators import importance as I
 from breachline.operators import models as M
 from breachline.operators import splitting as L
+from breachline.operators.ordering import union_all
 from breachline.operators.scoring import score_requests
+from breachline.plans import pipelines
 from breachline.plans.feature_queries import COLS, gold
 from breachline.plans.fixture import fixture_lookup, rounded, silver, splits, table
 from breachline.plans.registry import query
@@ -166,6 +168,20 @@ def riskiest_request(spark, sf_dir):
     return I.riskiest_case(M.predictions_table({"RF": model}, part(df, "val"), FEATURES, "request_key"))
 
 
+@query()
+def stored_model_results(spark, sf_dir):
+    """All tables of the model page, stored and read back: rows of each."""
+    df, model = _forest(spark, sf_dir)
+    tables = pipelines.model_results({"RF": model}, "RF", df, FEATURES, "request_key")
+    prefix = f"{work_folder(spark)}/breachline/results-{uuid.uuid4().hex}"
+    pipelines.store_results(tables, prefix)
+    counts = [
+        spark.read.parquet(f"{prefix}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        for name in tables
+    ]
+    return union_all(counts)
+
+
 @query()
 def scored_requests(spark, sf_dir):
     """Fit on the training period, store model and maps, load them and score the test period."""
