@@ -89,7 +89,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(columna, value, n) for numeric columns, NULL left out."""
     as_double = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     return (
-        as_double.unpivot([], list(columns), "columna", "value")
+        as_double.unpivot([], [F.col(f"`{c}`") for c in columns], "columna", "value")
         .where(F.col("value").isNotNull())
         .groupBy("columna", "value")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -29,7 +29,7 @@ def as_rows(columns, rows):
     return [columns[i] for i in at], sorted(tuple(plain(r[i]) for i in at) for r in rows)
 
 
-def compare(df, con, sql: str) -> str | None:
+def compare(df, con, sql: str, may_be_empty: bool = False) -> str | None:
     """None when both sides agree, else what differs first."""
     mine = as_rows(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
@@ -38,7 +38,7 @@ def compare(df, con, sql: str) -> str | None:
         return f"columns {mine[0]} != {theirs[0]}"
     if len(mine[1]) != len(theirs[1]):
         return f"rows {len(mine[1])} != {len(theirs[1])}"
-    if not mine[1]:
+    if not mine[1] and not may_be_empty:
         return "no rows"
     for a, b in zip(mine[1], theirs[1]):
         if a != b:
