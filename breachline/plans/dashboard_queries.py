@@ -132,7 +132,7 @@ def drift_by_type(spark, sf_dir):
 
 @query(
     f"""WITH {SPLITS}, {_DRIFT}
-SELECT count_if(test_pct = 0) AS groups_with_zero_test, round(max(abs(test_pct - train_pct)), 6) AS max_abs_drift_pp FROM drift"""
+SELECT count(*) FILTER (WHERE test_pct = 0) AS groups_with_zero_test, round(max(abs(test_pct - train_pct)), 6) AS max_abs_drift_pp FROM drift"""
 )
 def drift_summary(spark, sf_dir):
     return rounded(D.drift_summary(D.drift_by_group(splits(spark, sf_dir), "complaint_type")))
