@@ -11,6 +11,9 @@ from breachline.operators.joins import attach
 from breachline.operators.ordering import prefix_sums
 from breachline.settings import cut
 
+#: One-hot columns are made for at most this many levels of a column.
+MOST_LEVELS = 1000
+
 
 def fold_sums(train: DataFrame, columns: Sequence[str], target: str, fold: Column) -> DataFrame:
     """(column, key, fold, s, c): known targets and their sum, for several columns in one pass."""
@@ -104,10 +107,13 @@ def index_categories(train: DataFrame, df: DataFrame, columns: Sequence[str]) ->
     return df
 
 
-def one_hot_levels(train: DataFrame, column: str) -> list[str]:
-    """Levels of a low-cardinality column in name order; they become column names."""
-    rows = train.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()
-    return [r[0] for r in rows]
+def one_hot_levels(train: DataFrame, column: str, most: int = MOST_LEVELS) -> list[str]:
+    """Levels in name order; they become column names, so a column with too many is refused."""
+    named = F.col(f"`{column}`")
+    rows = train.select(named.alias("level")).dropna().distinct().orderBy("level").take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} levels: encode it by its target instead")
+    return [r.level for r in rows]
 
 
 def one_hot(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +21,7 @@ from breachline.operators.statistics import (
     group_stats,
     rolling_range_sum,
 )
-from breachline.settings import PERCENTILE_ACCURACY, cut, work_folder
+from breachline.settings import PERCENTILE_ACCURACY, cut, work_path
 from breachline.sources.mappings import (
     Fitted,
     as_maps,
@@ -217,7 +216,7 @@ def fit_features(
     on the centroids, are written by one job whose branches read only their own columns.
     """
     spark = train.sparkSession
-    path = path or f"{work_folder(spark)}/breachline/fitted-{uuid.uuid4().hex}"
+    path = path or work_path(spark, "fitted")
     fold = stable_fold(F.col(cols.key)) if fold is None else fold
     day_no = times.day_number(F.to_date(cols.created))
     density = cut(
@@ -351,13 +350,14 @@ def build_features(
     unmapped: str = "drop",
     path: str | None = None,
     keep: tuple[str, ...] = (),
+    accuracy: int = PERCENTILE_ACCURACY,
 ) -> tuple[DataFrame, Fitted]:
     """Gold features of a table with a ``split`` column, and the maps they were made with.
 
     The prepared table is written once: fitting and transforming both read it back.
     """
     ready = cut(prepare_requests(df, lookup, cols, unmapped), "prepared")
-    fitted = fit_features(ready.where(F.col("split") == "train"), cols, path, fold)
+    fitted = fit_features(ready.where(F.col("split") == "train"), cols, path, fold, accuracy)
     return transform_features(ready, fitted, cols, fold, keep=keep), fitted
 
 

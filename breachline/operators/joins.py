@@ -68,8 +68,12 @@ def attach_by_hot_keys(
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, column: str, key: str = "agency_key") -> DataFrame:
-    """Left join of a literal lookup; its key is dropped and unmatched rows hold NULL."""
-    return df.join(F.broadcast(lookup), F.col(column) == F.col(key), "left").drop(key)
+    """Left join of a lookup; its key is dropped and unmatched rows hold NULL.
+
+    A literal table's size is known to the optimizer, which broadcasts it without a hint; a
+    longer lookup from elsewhere is measured by Spark like any other table.
+    """
+    return df.join(lookup, F.col(column) == F.col(key), "left").drop(key)
 
 
 def attach_group_stat(

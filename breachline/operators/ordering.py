@@ -114,6 +114,24 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return running.groupBy("columna").agg(*picks).select("columna", *results)
 
 
+def discrete_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+    """The least value with at least the share of rows at or below it: ``q_0``, ``q_1``, …
+
+    Exact, from running counts of the distinct values of one numeric column.
+    """
+    counted = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    running = prefix_sums(counted, [F.col("value")], ["n"])
+    picks = [
+        F.min(F.when(F.col("cum_n") >= F.ceil(F.col("all_n") * F.lit(s)), F.col("value")))
+        for s in shares
+    ]
+    return running.agg(*[p.alias(f"q_{i}") for i, p in enumerate(picks)])
+
+
 def expanding_folds(df: DataFrame, order: Sequence[Column], k: int = 5) -> DataFrame:
     """Add ``fold``: the fold (0 … k-1) testing the row, -1 for rows that are only learnt from.
 

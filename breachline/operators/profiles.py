@@ -189,10 +189,12 @@ def iqr_outliers(
     )
 
 
-def health_report(df: DataFrame, approximate: bool = False) -> DataFrame:
+def health_report(
+    df: DataFrame, approximate: bool = False, accuracy: int = PERCENTILE_ACCURACY
+) -> DataFrame:
     """Missing values, distinct values, outliers and table-wide duplicates, per column."""
     duplicates = duplicate_count(df).select("duplicate_rows").scalar()
-    outliers = iqr_outliers(df)
+    outliers = iqr_outliers(df, accuracy=accuracy)
     return (
         missing_profile(df, approximate)
         .join(F.broadcast(outliers), "columna", "left")  # one row per numeric column

@@ -6,35 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breachline.functions.times import epoch_seconds
-from breachline.operators.ordering import global_row_index
-from breachline.settings import PERCENTILE_ACCURACY
+from breachline.operators.ordering import discrete_quantiles, global_row_index
 
 OBSERVED_DAYS = 120
 
 
 def split_cuts(
-    df: DataFrame,
-    ts: str,
-    train_share: float = 0.70,
-    val_share: float = 0.85,
-    accuracy: int = PERCENTILE_ACCURACY,
+    df: DataFrame, ts: str, train_share: float = 0.70, val_share: float = 0.85
 ) -> DataFrame:
     """Epoch seconds ending the training and the validation period."""
-    cuts = F.percentile_approx(epoch_seconds(F.col(ts)), [train_share, val_share], accuracy)
-    return df.agg(cuts.alias("cuts")).select(
-        F.col("cuts")[0].alias("train_end"), F.col("cuts")[1].alias("val_end")
+    seconds = df.select(epoch_seconds(F.col(ts)).alias("at"))
+    return discrete_quantiles(seconds, "at", [train_share, val_share]).withColumnsRenamed(
+        {"q_0": "train_end", "q_1": "val_end"}
     )
 
 
 def temporal_split(
-    df: DataFrame,
-    ts: str,
-    train_share: float = 0.70,
-    val_share: float = 0.85,
-    accuracy: int = PERCENTILE_ACCURACY,
+    df: DataFrame, ts: str, train_share: float = 0.70, val_share: float = 0.85
 ) -> DataFrame:
     """Add ``split``: oldest rows train, then val, newest test; ties stay in the earlier part."""
-    cuts = split_cuts(df, ts, train_share, val_share, accuracy)
+    cuts = split_cuts(df, ts, train_share, val_share)
     ends = cuts.select(F.struct("train_end", "val_end")).scalar()
     at = epoch_seconds(F.col(ts))
     split = F.when(at <= ends["train_end"], "train").when(at <= ends["val_end"], "val")

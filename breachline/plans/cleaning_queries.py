@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from breachline.functions.text import is_missing, recode
@@ -13,6 +11,7 @@ from breachline.operators import dashboards as D
 from breachline.operators import joins as J
 from breachline.operators import profiles as P
 from breachline.plans.fixture import (
+    FINE,
     JUDGED,
     REQUESTS,
     SILVER,
@@ -25,7 +24,7 @@ from breachline.plans.fixture import (
     table,
 )
 from breachline.plans.registry import query
-from breachline.settings import cut, work_folder
+from breachline.settings import cut, work_path
 from breachline.sources.lookup import inline_lookup
 from breachline.sources.readers import read_layer, read_splits
 from breachline.sources.writers import write_splits
@@ -58,7 +57,7 @@ FROM splits GROUP BY split"""
 )
 def read_splits_sizes(spark, sf_dir):
     """Write the splits as one partitioned table, read them back and report their sizes."""
-    base = f"{work_folder(spark)}/breachline/splits-{uuid.uuid4().hex}"
+    base = work_path(spark, "splits")
     write_splits(splits(spark, sf_dir), base)
     return rounded(D.split_sizes(read_splits(spark, base)))
 
@@ -334,10 +333,10 @@ def two_level_fallback(spark, sf_dir):
         df,
         daily,
         ["incident_zip", "day"],
-        group_median(daily, "incident_zip", "volume", "volume"),
+        group_median(daily, "incident_zip", "volume", "volume", FINE),
         ["incident_zip"],
         "volume",
-        group_median(daily, [], "volume", "volume").scalar(),
+        group_median(daily, [], "volume", "volume", FINE).scalar(),
     )
     return joined.select("request_key", "volume")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from breachline.operators import balancing as B
@@ -19,7 +17,7 @@ from breachline.plans import pipelines
 from breachline.plans.feature_queries import COLS, gold
 from breachline.plans.fixture import fixture_lookup, rounded, silver, splits, table
 from breachline.plans.registry import query
-from breachline.settings import cut, work_folder
+from breachline.settings import cut, work_path
 
 FEATURES = [
     "quantity", "price", "discount", "tax", "latitude", "longitude", "sla_days",
@@ -173,7 +171,7 @@ def stored_model_results(spark, sf_dir):
     """All tables of the model page, stored and read back: rows of each."""
     df, model = _forest(spark, sf_dir)
     tables = pipelines.model_results({"RF": model}, "RF", df, FEATURES, "request_key")
-    prefix = f"{work_folder(spark)}/breachline/results-{uuid.uuid4().hex}"
+    prefix = work_path(spark, "results")
     pipelines.store_results(tables, prefix)
     counts = [
         spark.read.parquet(f"{prefix}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
@@ -189,7 +187,7 @@ def scored_requests(spark, sf_dir):
     df = cut(df, "gold")
     features = X.feature_names(COLS)
     train = E.with_class_weight(part(df, "train"))
-    path = f"{work_folder(spark)}/breachline/model-{uuid.uuid4().hex}"
+    path = work_path(spark, "model")
     model = M.fit_random_forest(train, features, weight="weight", **FOREST)
     M.save_model(model, path, {"threshold": 0.5, "features": features})
     stored, metadata = M.load_model(spark, path)

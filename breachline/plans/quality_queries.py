@@ -9,7 +9,7 @@ from breachline.operators import dashboards as D
 from breachline.operators import profiles as P
 from breachline.operators import reports as R
 from breachline.operators import statistics as S
-from breachline.plans.fixture import REQUESTS, SILVER, requests, rounded, silver, table
+from breachline.plans.fixture import FINE, REQUESTS, SILVER, requests, rounded, silver, table
 from breachline.plans.registry import query
 from breachline.settings import cut
 
@@ -84,7 +84,7 @@ def _bronze(spark, sf_dir):
 
 
 def _bronze_report(spark, sf_dir):
-    return P.health_report(cut(_bronze(spark, sf_dir), "bronze"))
+    return P.health_report(cut(_bronze(spark, sf_dir), "bronze"), accuracy=FINE)
 
 
 def _both_reports(spark, sf_dir):
@@ -129,7 +129,7 @@ def health_report(spark, sf_dir):
 
 @query(f"WITH {REQUESTS}, bronze AS (SELECT {_COLUMNS} FROM requests) {_outlier_sql('bronze')}")
 def iqr_outliers(spark, sf_dir):
-    return rounded(P.iqr_outliers(_bronze(spark, sf_dir)))
+    return rounded(P.iqr_outliers(_bronze(spark, sf_dir), accuracy=FINE))
 
 
 @query(
@@ -200,7 +200,7 @@ def outlier_severity(spark, sf_dir):
     df = requests(spark, sf_dir, ["price", "quantity", "discount"])
     q = F.col("quantity")
     made = df.select("price", (q * q * q).alias("q3"), (F.col("discount") * q * q).alias("dq"))
-    return R.outlier_severity(P.iqr_outliers(made))
+    return R.outlier_severity(P.iqr_outliers(made, accuracy=FINE))
 
 
 @query(

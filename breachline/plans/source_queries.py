@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from breachline.operators import profiles as P
 from breachline.plans.fixture import JUDGED, judged, rounded, table
 from breachline.plans.registry import query
-from breachline.settings import work_folder
+from breachline.settings import work_path
 from breachline.sources import mappings, readers, writers
 
 
 def _folder(spark, name: str) -> str:
-    return f"{work_folder(spark)}/breachline/{name}-{uuid.uuid4().hex}"
+    return work_path(spark, name)
 
 
 @query("SELECT o_orderpriority, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")

@@ -15,8 +15,9 @@ BROADCAST_ROWS = 200_000
 #: at most 1 / HOT_SHARE keys can qualify, so their table always fits in a broadcast.
 HOT_SHARE = 0.0005
 
-#: Accuracy of percentile_approx: rank error 1/accuracy.
-PERCENTILE_ACCURACY = 1_000_000
+#: Accuracy of percentile_approx: rank error 1/accuracy. Every task ships a sketch whose size
+#: grows with it, so it stays at Spark's own default unless a caller asks for more.
+PERCENTILE_ACCURACY = 10_000
 
 SEED = 42
 
@@ -40,6 +41,21 @@ def work_folder(spark: SparkSession) -> str:
     return _local_folder(spark.conf.get("spark.app.id", ""))
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{work_folder(spark)}/breachline/{spark.conf.get('spark.app.id')}"
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path of this application below the work folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables this application wrote to the work folder, once nothing reads them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the work folder and continue from the written table.
 
@@ -47,7 +63,7 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     executor costs a re-read, not a re-computation.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/breachline/{name}-{uuid.uuid4().hex}"
+    path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+from breachline.settings import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,4 +23,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
