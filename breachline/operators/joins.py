@@ -68,12 +68,13 @@ def attach_by_hot_keys(
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, column: str, key: str = "agency_key") -> DataFrame:
-    """Left join of a lookup; its key is dropped and unmatched rows hold NULL.
+    """Left join of a short lookup; its key is dropped and unmatched rows hold NULL.
 
-    A literal table's size is known to the optimizer, which broadcasts it without a hint; a
-    longer lookup from elsewhere is measured by Spark like any other table.
+    The lookup is counted like every other table before it is broadcast.
     """
-    return df.join(lookup, F.col(column) == F.col(key), "left").drop(key)
+    terms = [c for c in lookup.columns if c != key]
+    joined = attach(df, lookup.withColumnRenamed(key, column), column, settled=True)
+    return joined.select(*[F.col(f"`{c}`") for c in [*df.columns, *terms]])
 
 
 def attach_group_stat(

@@ -59,12 +59,12 @@ def requests(spark: SparkSession, sf_dir: str, fields: list[str] | None = None)
     if {"complaint_type", "location_type"} & set(fields):
         df = df.join(table(spark, sf_dir, "part"), F.col("p_partkey") == part)
     if "borough" in fields:
-        places = (
-            table(spark, sf_dir, "supplier")
+        # one dimension after the other, so that Spark sees the stored size of each
+        df = (
+            df.join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == supplier)
             .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
-        df = df.join(places, F.col("s_suppkey") == supplier)
     place = F.when(order % 19 == 0, "").when(order % 23 == 0, "Unspecified")
     made = {
         "request_key": order * 10 + F.col("l_linenumber"),
