@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from breachline.llm.common import documents
 from breachline.llm.exact_dedup import exact_duplicates
+from breachline.llm.language_id import learn, predict
+from breachline.llm.packing import pack
 from breachline.llm.simhash import near_duplicates
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +24,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return predict(docs, learn(docs))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 PLANS: dict[str, Plan] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_exact_dedup)
+    f.__name__: f
+    for f in (op1_simhash_near_dedup, op3_exact_dedup, op6_language_id, op7_packing)
 }
 
 SQL: dict[str, str] = {

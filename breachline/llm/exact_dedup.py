@@ -40,7 +40,7 @@ def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def merge_runs(runs: DataFrame, lanes: int, fan_in: int = FAN_IN) -> DataFrame:
     """Merge ``(lane, digest, size, check, keep, n)`` over all lanes in rounds of ``fan_in``."""
     width, step = shuffle_width(runs.sparkSession), 1
-    digit_source = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
+    digit_source = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("bigint")
     while step < lanes:
         mine = F.floor(F.col("lane") / step) % fan_in
         theirs = F.floor(digit_source / step) % fan_in
