@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from breachline.llm.common import documents
+from breachline.llm.decontaminate import find_leaks
 from breachline.llm.exact_dedup import exact_duplicates
 from breachline.llm.language_id import learn, predict
 from breachline.llm.packing import pack
@@ -24,6 +25,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(documents(spark, sf_dir), items)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return predict(docs, learn(docs))
@@ -35,7 +41,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op3_exact_dedup, op6_language_id, op7_packing)
+    for f in (
+        op1_simhash_near_dedup,
+        op3_exact_dedup,
+        op5_benchmark_decontamination,
+        op6_language_id,
+        op7_packing,
+    )
 }
 
 SQL: dict[str, str] = {

@@ -88,7 +88,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-class _Hash:
+class SliceHash:
     """Hash of any slice of a sequence, from running sums of its items times powers."""
 
     def __init__(self, base: int) -> None:
@@ -108,7 +108,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.model = tokenizer(path)
-        self.hashes = [_Hash(base) for base in _BASES]
+        self.hashes = [SliceHash(base) for base in _BASES]
         #: Bytes of each id: byte-level BPE writes one character for each byte.
         vocabulary = self.model.get_vocab()
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
