@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from breachline.llm.common import documents
 from breachline.llm.decontaminate import find_leaks
 from breachline.llm.exact_dedup import exact_duplicates
+from breachline.llm.html_layout import extract_text
 from breachline.llm.language_id import learn, predict
+from breachline.llm.licenses import scan_licenses, scan_sql
 from breachline.llm.packing import pack
 from breachline.llm.simhash import near_duplicates
 
@@ -25,6 +27,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return find_leaks(documents(spark, sf_dir), items)
@@ -39,18 +45,25 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 PLANS: dict[str, Plan] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op3_exact_dedup,
+        op4_license_scan,
         op5_benchmark_decontamination,
         op6_language_id,
         op7_packing,
+        op10_html_extraction,
     )
 }
 
 SQL: dict[str, str] = {
+    "op4_license_scan": scan_sql(),
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS plain
