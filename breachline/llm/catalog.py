@@ -14,6 +14,8 @@ from breachline.llm.html_layout import extract_text
 from breachline.llm.language_id import learn, predict
 from breachline.llm.licenses import scan_licenses, scan_sql
 from breachline.llm.packing import pack
+from breachline.llm.pii import fit_judge, scan_personal_data
+from breachline.llm.secret_scan import fit_forest, scan_secrets
 from breachline.llm.simhash import near_duplicates
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scan_personal_data(docs, fit_judge(docs))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -45,6 +52,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scan_secrets(docs, fit_forest(docs))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -53,11 +65,13 @@ PLANS: dict[str, Plan] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_pii,
         op3_exact_dedup,
         op4_license_scan,
         op5_benchmark_decontamination,
         op6_language_id,
         op7_packing,
+        op9_secret_scan,
         op10_html_extraction,
     )
 }
