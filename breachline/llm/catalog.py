@@ -17,6 +17,7 @@ from breachline.llm.packing import pack
 from breachline.llm.pii import fit_judge, scan_personal_data
 from breachline.llm.secret_scan import fit_forest, scan_secrets
 from breachline.llm.simhash import near_duplicates
+from breachline.llm.suffix_dedup import repeated_spans
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(documents(spark, sf_dir), keep="none").select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return scan_secrets(docs, fit_forest(docs))
@@ -71,6 +78,7 @@ PLANS: dict[str, Plan] = {
         op5_benchmark_decontamination,
         op6_language_id,
         op7_packing,
+        op8_suffix_array_dedup,
         op9_secret_scan,
         op10_html_extraction,
     )
