@@ -1,13 +1,14 @@
 """Near duplicates by SimHash fingerprints and pigeonhole blocks.
 
 Fingerprints that differ in at most four bits agree on at least three of seven blocks, so
-a join on every choice of three blocks meets all of them; a join row counts only after its
-Hamming distance was checked. Equal fingerprints are one node from the start.
-
-A block with many fingerprints is never paired out. Its free bits are split again by the
-same argument (four free blocks become eight, of which four stay free) until the blocks
-are small, or until their fingerprints vary in four bits at most. Then all of them are
-linked to the smallest one, because any two are close.
+grouping on every choice of three blocks brings all of them together; a pair counts only
+after its Hamming distance was checked. Equal fingerprints are one node from the start.
+
+A block never emits all its pairs. Up to a bounded size its fingerprints are compared in
+place and connected by fewer links than there are fingerprints. In a larger block the free
+bits are split again by the same argument (four free blocks become eight, of which four
+stay free), until the blocks are small or their fingerprints vary in four bits at most;
+then all of them are linked to the smallest one, because any two are close.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from breachline.settings import cut
 BITS = 64
 DISTANCE = 4
 WORDS = 4
-#: Blocks up to this many fingerprints are paired; larger ones are split further.
-PAIRED = 64
+#: Blocks up to this many fingerprints are compared as they are; larger ones are split further.
+COMPARED = 512
 
 _CHUNK = 256
 
@@ -126,17 +127,43 @@ def _stars(buckets: DataFrame) -> DataFrame:
     return buckets.where("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
 
 
-def _pairs(buckets: DataFrame, distance: int) -> DataFrame:
-    left = buckets.select("free", "key", F.col("fp").alias("a"))
-    right = buckets.select("free", "key", F.col("fp").alias("b"))
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    joined = left.join(right.hint("merge"), ["free", "key"]).where((F.col("a") > F.col("b")) & close)
-    return joined.select("a", "b")
+def spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Links between close fingerprints of one block that connect what all its close pairs
+    connect: at most one link fewer than fingerprints."""
+    waiting, links = np.ones(len(fps), bool), []
+    for seed in range(len(fps)):
+        if not waiting[seed]:
+            continue
+        waiting[seed], queue = False, [seed]
+        while queue:
+            at = queue.pop()
+            near = np.flatnonzero(waiting & (np.bitwise_count(fps ^ fps[at]) <= distance))
+            waiting[near] = False
+            queue.extend(near.tolist())
+            links.extend((at, other) for other in near.tolist())
+    return links
+
+
+def _block_links(buckets: DataFrame, distance: int) -> DataFrame:
+    """Links within blocks of bounded size, every pair of a block compared where it lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends: list[int] = []
+            for block in batch.column(0):
+                fps = block.values.to_numpy().view(np.uint64)
+                pairs = np.array(spanning_links(fps, distance), np.int64).reshape(-1, 2)
+                ends.extend(fps.view(np.int64)[pairs].ravel().tolist())
+            table = np.array(ends, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T], ["a", "b"])
+
+    blocks = buckets.groupBy("free", "key").agg(F.collect_list("fp").alias("fps"))
+    return blocks.select("fps").mapInArrow(run, "a bigint, b bigint")
 
 
-def close_links(fps: DataFrame, paired: int = PAIRED) -> DataFrame:
+def close_links(fps: DataFrame, compared: int = COMPARED) -> DataFrame:
     """Links ``(a, b)`` that connect all fingerprints (distinct, column ``fp``) at most four
-    bits apart: every such pair, or a chain of such pairs through the smallest of a block."""
+    bits apart: some such pairs of each block, which chain together all pairs of the block."""
     rows, links = fps.select("fp", F.lit(-1).cast("bigint").alias("free")), None
     for level in range(4):
         keyed = rows.select(
@@ -151,10 +178,10 @@ def close_links(fps: DataFrame, paired: int = PAIRED) -> DataFrame:
         shared = cut(keyed.join(sizes, ["free", "key"]), "blocks")
         tight = F.col("varying") <= DISTANCE
         found = _stars(shared.where(tight)).union(
-            _pairs(shared.where(~tight & (F.col("n") <= paired)), DISTANCE)
+            _block_links(shared.where(~tight & (F.col("n") <= compared)), DISTANCE)
         )
         links = found if links is None else links.union(found)
-        rows = shared.where(~tight & (F.col("n") > paired)).select("fp", "free").distinct()
+        rows = shared.where(~tight & (F.col("n") > compared)).select("fp", "free").distinct()
         if rows.isEmpty():
             break
     return links
