@@ -63,9 +63,11 @@ def learn(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(id_col).alias("held"),
         F.xxhash64(F.col(f"`{id_col}`")).alias("draw"), F.lower(f"`{text_col}`").alias("text"),
     ).where("lang IS NOT NULL AND NOT held")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.lit(per_language) / F.col("n")
-    drawn = known.where("text IS NOT NULL").join(sizes, "lang").where(
+    # one row per language; the model, which every task gets, has as many rows
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    shares = [F.lit(x) for r in sizes for x in (r["lang"], per_language / r["n"])]
+    share = F.element_at(F.create_map(*shares).cast("map<string,double>"), F.col("lang"))
+    drawn = known.where("text IS NOT NULL").where(
         F.pmod("draw", F.lit(1_000_003)) / 1_000_003 < share
     ).select("lang", "text")
 
