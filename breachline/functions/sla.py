@@ -34,7 +34,8 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 def stable_fold(*key: Column, folds: int = 5, seed: int = 42) -> Column:
     """A fold that depends on the row's key only, so a re-run task assigns it again."""
-    return F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(folds)).cast("int")
+    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(str(seed))).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % folds).cast("int")
 
 
 def priority_level(probability: Column, threshold: float) -> Column:

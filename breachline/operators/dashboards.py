@@ -341,15 +341,23 @@ def top_categories(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     )
 
 
-def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = SEED) -> DataFrame:
-    """``n`` rows without replacement, the same ones however the table is partitioned."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+def sample_rows(
+    df: DataFrame, key: Sequence[str], n: int, seed: int = SEED, ties: Sequence[str] = ()
+) -> DataFrame:
+    """``n`` rows without replacement, the same ones however the table is partitioned.
+
+    Rows are drawn in the order of the key's MD5; ``ties`` order rows with equal keys.
+    """
+    parts = [F.col(k).cast("string") for k in key]
+    drawn = F.md5(F.concat_ws("|", *parts, F.lit(str(seed))).cast("binary"))
+    return df.orderBy(drawn, *key, *ties).limit(n)
 
 
 def map_sample(
-    df: DataFrame, key: Sequence[str], n: int = 5000, lat: str = "latitude", lon: str = "longitude"
+    df: DataFrame, key: Sequence[str], n: int = 5000, lat: str = "latitude", lon: str = "longitude",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    return sample_rows(df.dropna(subset=[lat, lon]), key, n)
+    return sample_rows(df.dropna(subset=[lat, lon]), key, n, ties=ties)
 
 
 def map_markers(

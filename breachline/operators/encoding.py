@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,9 +12,6 @@ from breachline.operators.joins import attach
 from breachline.operators.ordering import prefix_sums
 from breachline.settings import cut
 
-#: One-hot columns are made for at most this many levels of a column.
-MOST_LEVELS = 1000
-
 
 def fold_sums(train: DataFrame, columns: Sequence[str], target: str, fold: Column) -> DataFrame:
     """(column, key, fold, s, c): known targets and their sum, for several columns in one pass."""
@@ -107,27 +105,49 @@ def index_categories(train: DataFrame, df: DataFrame, columns: Sequence[str]) ->
     return df
 
 
-def one_hot_levels(train: DataFrame, column: str, most: int = MOST_LEVELS) -> list[str]:
-    """Levels in name order; they become column names, so a column with too many is refused."""
+def one_hot_levels(train: DataFrame, column: str) -> list[str]:
+    """Levels in name order, for columns whose levels are to become column names."""
     named = F.col(f"`{column}`")
-    rows = train.select(named.alias("level")).dropna().distinct().orderBy("level").take(most + 1)
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} levels: encode it by its target instead")
+    rows = train.select(named.alias("level")).dropna().distinct().orderBy("level").collect()
     return [r.level for r in rows]
 
 
-def one_hot(
-    train: DataFrame, df: DataFrame, columns: Sequence[str], drop_first: bool = True
+def one_hot_columns(
+    df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool = True
 ) -> DataFrame:
-    """0/1 columns for the training levels; unseen levels and NULL are 0 everywhere."""
+    """0/1 columns for the given levels; other levels and NULL are 0 everywhere."""
     dummies = {}
-    for column in columns:
-        for level in one_hot_levels(train, column)[1 if drop_first else 0 :]:
+    for column, listed in levels.items():
+        for level in listed[1 if drop_first else 0 :]:
             hit = F.coalesce(F.col(f"`{column}`") == F.lit(level), F.lit(False))
             dummies[f"{column}_{level}"] = hit.cast("int")
     return df.withColumns(dummies)
 
 
+def one_hot(
+    train: DataFrame, df: DataFrame, columns: Sequence[str], drop_first: bool = True
+) -> DataFrame:
+    """Add ``<column>_onehot``, a sparse vector over the training levels in name order.
+
+    Any number of levels; a level unseen in training and NULL give the zero vector. The only
+    level of a column is not dropped.
+    """
+    for column in columns:
+        code, out = f"_{column}_code", f"{column}_onehot"
+        levels = train.dropna(subset=[column])
+        index = StringIndexer(
+            inputCol=column, outputCol=code, stringOrderType="alphabetAsc", handleInvalid="keep"
+        ).fit(levels)
+        size = len(index.labels)
+        first = 1 if drop_first and size > 1 else 0
+        df = index.transform(df)
+        encoder = OneHotEncoder(inputCol=code, outputCol=out, dropLast=False, handleInvalid="keep")
+        df = encoder.fit(index.transform(levels)).transform(df)
+        kept = VectorSlicer(inputCol=out, outputCol=f"{out}_kept", indices=list(range(first, size)))
+        df = kept.transform(df).drop(code, out).withColumnRenamed(f"{out}_kept", out)
+    return df
+
+
 def standardize(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """z-scores by training mean and population deviation; constant columns keep scale 1."""
     moments = train.agg(

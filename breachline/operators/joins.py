@@ -1,8 +1,9 @@
 """Equi joins that survive hot keys.
 
-Every per-key table is counted before it is hinted for broadcast. Beyond the bound the
-rows of hot keys, whose number is limited by their share, meet a broadcast of their own
-few table rows, rows with NULL keys skip the join, and only the remaining rows shuffle.
+A per-key table is broadcast only if its stored bytes stay within a bound. Beyond it the
+join is one salted shuffle join: a row of the input meets one of several copies of the
+table's row, chosen by a hash, so a hot key is spread over as many tasks. The input is
+neither written nor counted, and a stream is joined by the same plan.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from breachline.settings import BROADCAST_ROWS, HOT_SHARE, cut
+from breachline.settings import BROADCAST_BYTES, SALTS, cut, stored_bytes
 
 
 def as_list(keys: str | Sequence[str]) -> list[str]:
@@ -25,52 +27,49 @@ def attach(
     df: DataFrame,
     table: DataFrame,
     keys: str | Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-    hot_share: float = HOT_SHARE,
+    max_bytes: int | None = None,
+    salts: int = SALTS,
     settled: bool = False,
 ) -> DataFrame:
     """Left join of a table with at most one row per key; ``df`` keeps all its rows.
 
-    ``settled`` says that ``table`` is already a stored table, so counting it is cheap.
+    ``settled`` says that ``table`` is already a stored table, which need not be written.
     """
     keys = as_list(keys)
     table = table if settled else cut(table, "attach")
-    if table.count() <= max_rows:
+    if stored_bytes(table) <= (BROADCAST_BYTES if max_bytes is None else max_bytes):
         return df.join(F.broadcast(table), keys, "left")
-    return attach_by_hot_keys(df, table, keys, hot_share)
+    return attach_salted(df, table, keys, salts)
 
 
-def hot_keys(df: DataFrame, keys: str | Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``hot_share`` of the rows: at most ``1 / hot_share`` of them."""
-    counted = cut(df.groupBy(*as_list(keys)).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
-    total = counted.agg(F.sum("_n")).scalar()
-    return counted.where(F.col("_n") >= total * hot_share).drop("_n")
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A hash of the row: of its numbers and times beside the keys, else of all else."""
+    plain = (T.NumericType, T.DatetimeType, T.BooleanType)
+    others = [f for f in df.schema if f.name not in keys]
+    chosen = [f for f in others if isinstance(f.dataType, plain)] or others
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in chosen]) if chosen else F.lit(0).cast("bigint")
 
 
-def attach_by_hot_keys(
-    df: DataFrame, table: DataFrame, keys: str | Sequence[str], hot_share: float = HOT_SHARE
+def attach_salted(
+    df: DataFrame, table: DataFrame, keys: str | Sequence[str], salts: int = SALTS
 ) -> DataFrame:
+    """The same left join as one shuffle join over keys and salt.
+
+    Rows with a NULL key match nothing; their salts lie outside the copies and spread them.
+    """
     keys = as_list(keys)
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    keyed = df.where(~no_key)
-    hot = F.broadcast(cut(hot_keys(keyed, keys, hot_share), "hot-keys"))
-    values = [c for c in table.columns if c not in keys]
-    hot_rows = keyed.join(hot, keys, "left_semi").join(
-        F.broadcast(table.join(hot, keys, "left_semi")), keys, "left"
-    )
-    cold_rows = keyed.join(hot, keys, "left_anti").join(
-        table.hint("shuffle_merge"), keys, "left"
-    )
-    unmatched = df.where(no_key).withColumns(
-        {c: F.lit(None).cast(table.schema[c].dataType) for c in values}
-    )
-    return hot_rows.unionByName(cold_rows).unionByName(unmatched)
+    no_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    spread = _spread(df, keys)
+    salt = F.when(no_key, -1 - F.pmod(spread, F.lit(1009))).otherwise(F.pmod(spread, F.lit(salts)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    joined = df.withColumn("_salt", salt).join(copies.hint("shuffle_merge"), [*keys, "_salt"], "left")
+    return joined.drop("_salt")
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, column: str, key: str = "agency_key") -> DataFrame:
     """Left join of a short lookup; its key is dropped and unmatched rows hold NULL.
 
-    The lookup is counted like every other table before it is broadcast.
+    The lookup's size is checked like that of every other table before it is broadcast.
     """
     terms = [c for c in lookup.columns if c != key]
     joined = attach(df, lookup.withColumnRenamed(key, column), column, settled=True)

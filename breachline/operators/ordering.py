@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from breachline.settings import BROADCAST_ROWS, cut, shuffle_width
+from breachline.settings import cut, shuffle_width
 
 _BLOCK_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
@@ -70,7 +70,7 @@ def prefix_sums(
         *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"_start_{x}") for x in sums],
         *[F.sum(x).over(whole).alias(f"all_{x}") for x in sums],
     )
-    if not by or starts.count() <= BROADCAST_ROWS:
+    if not by:  # one row per block
         starts = F.broadcast(starts)
     inside = (
         Window.partitionBy(*by, "_block")
@@ -114,6 +114,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return running.groupBy("columna").agg(*picks).select("columna", *results)
 
 
+def discrete_quantiles_of(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """The same for many columns at once, from their ``value_counts``: a row per column."""
+    running = prefix_sums(counts, [F.col("value")], ["n"], by=["columna"])
+    return running.groupBy("columna").agg(
+        *[
+            F.min(F.when(F.col("cum_n") >= F.ceil(F.col("all_n") * F.lit(s)), F.col("value"))).alias(f"q_{i}")
+            for i, s in enumerate(shares)
+        ]
+    )
+
+
 def discrete_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
     """The least value with at least the share of rows at or below it: ``q_0``, ``q_1``, …
 

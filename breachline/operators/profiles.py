@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from breachline.functions.text import SENTINEL
 from breachline.operators.cleaning import select_by_type
-from breachline.operators.ordering import exact_quantiles
-from breachline.settings import PERCENTILE_ACCURACY
+from breachline.operators.ordering import discrete_quantiles_of, exact_quantiles, value_counts
+from breachline.settings import cut
 
 
 def _quoted(names: Sequence[str]) -> list:
@@ -89,7 +89,14 @@ def drop_sparse_columns(df: DataFrame, max_null_pct: float = 30.0) -> DataFrame:
 
 def text_value_counts(df: DataFrame) -> DataFrame:
     """(columna, valor, n) over all columns, NULL being one of the values."""
-    as_text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+
+    def text(field: T.StructField):
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            column = column + F.lit(0).cast(field.dataType)  # -0.0 and 0.0 are one value
+        return column.cast("string").alias(field.name)
+
+    as_text = df.select(*map(text, df.schema))
     return (
         as_text.unpivot([], _quoted(df.columns), "columna", "valor")
         .groupBy("columna", "valor")
@@ -101,7 +108,8 @@ def missing_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, missing values, their share, distinct values and rows of every column.
 
     Exact distinct counts come from one two-step aggregation over (column, value);
-    ``approximate`` keeps everything in a single pass of sketches instead.
+    ``approximate`` keeps everything in a single pass of sketches instead. An empty table
+    has a row of zeros per column, without a share.
     """
     fields = field_table(df)
     if approximate:
@@ -118,13 +126,15 @@ def missing_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
                 F.sum("n").alias("total_filas_dataset"),
             )
         )
-    return fields.join(per_column, "columna").select(
+    counts = {n: F.coalesce(F.col(n), F.lit(0)) for n in ("nulos_n", "unicos_n", "total_filas_dataset")}
+    share = F.try_divide(counts["nulos_n"] * 100.0, counts["total_filas_dataset"])
+    return fields.join(per_column, "columna", "left").select(
         "columna",
         "tipo_dato",
-        "nulos_n",
-        F.round(F.col("nulos_n") * 100.0 / F.col("total_filas_dataset"), 2).alias("nulos_pct"),
-        "unicos_n",
-        "total_filas_dataset",
+        counts["nulos_n"].alias("nulos_n"),
+        F.round(share, 2).alias("nulos_pct"),
+        counts["unicos_n"].alias("unicos_n"),
+        counts["total_filas_dataset"].alias("total_filas_dataset"),
     )
 
 
@@ -146,55 +156,42 @@ def _sketched_profile(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*metrics).alias("m")).select(F.inline("m"))
 
 
-def iqr_outliers(
-    df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = PERCENTILE_ACCURACY
-) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Tukey fences per numeric column and the values strictly outside them.
 
-    Two aggregations whatever the number of columns: quartiles, then counts.
+    Quartiles are exact (the least value with a quarter of the rows at or below it). They
+    and the values outside come from one table of value counts, whatever the columns.
     """
     columns = list(columns or select_by_type(df))
-    quartiles = df.agg(
-        F.struct(
-            *[
-                F.percentile_approx(F.col(f"`{c}`").cast("double"), [0.25, 0.75], accuracy).alias(c)
-                for c in columns
-            ]
-        ).alias("q")
-    ).scalar()
-    metrics = []
-    for c in columns:
-        q1, q3 = quartiles[c][0], quartiles[c][1]
-        low, high = q1 - (q3 - q1) * 1.5, q3 + (q3 - q1) * 1.5
-        outside = (F.col(f"`{c}`") < low) | (F.col(f"`{c}`") > high)
-        metrics.append(
-            F.struct(
-                F.lit(c).alias("columna"),
-                F.count_if(outside).alias("outliers_n"),
-                F.count(F.lit(1)).alias("_rows"),
-                F.max(F.coalesce(low, F.lit(0.0))).alias("iqr_lower"),
-                F.max(F.coalesce(high, F.lit(0.0))).alias("iqr_upper"),
-            )
-        )
-    return (
-        df.agg(F.array(*metrics).alias("m"))
-        .select(F.inline("m"))
-        .select(
-            "columna",
-            "outliers_n",
-            F.round(F.try_divide(F.col("outliers_n") * 100.0, F.col("_rows")), 2).alias("outliers_pct"),
-            "iqr_lower",
-            "iqr_upper",
-        )
+    counts = cut(value_counts(df, columns), "value-counts")
+    quartiles = discrete_quantiles_of(counts, [0.25, 0.75])
+    reach = (F.col("q_1") - F.col("q_0")) * 1.5
+    fences = quartiles.select(
+        "columna", (F.col("q_0") - reach).alias("low"), (F.col("q_1") + reach).alias("high")
+    )
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    found = counts.join(F.broadcast(fences), "columna").groupBy("columna").agg(  # a row per column
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers_n"),
+        F.max("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    named = df.agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_rows", F.explode(F.array(*map(F.lit, columns))).alias("columna")
+    )
+    n = F.coalesce("outliers_n", F.lit(0))
+    return named.join(found, "columna", "left").select(
+        "columna",
+        n.alias("outliers_n"),
+        F.round(F.try_divide(n * 100.0, F.col("_rows")), 2).alias("outliers_pct"),
+        F.coalesce("low", F.lit(0.0)).alias("iqr_lower"),
+        F.coalesce("high", F.lit(0.0)).alias("iqr_upper"),
     )
 
 
-def health_report(
-    df: DataFrame, approximate: bool = False, accuracy: int = PERCENTILE_ACCURACY
-) -> DataFrame:
+def health_report(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Missing values, distinct values, outliers and table-wide duplicates, per column."""
     duplicates = duplicate_count(df).select("duplicate_rows").scalar()
-    outliers = iqr_outliers(df, accuracy=accuracy)
+    outliers = iqr_outliers(df)
     return (
         missing_profile(df, approximate)
         .join(F.broadcast(outliers), "columna", "left")  # one row per numeric column
@@ -253,7 +250,9 @@ def skewness_profile(df: DataFrame, columns: Sequence[str] | None = None, top: i
     for c in columns:
         n = F.count(F.col(f"`{c}`")).cast("double")
         corrected = F.skewness(F.col(f"`{c}`")) * F.sqrt(n * (n - 1)) / F.when(n > 2, n - 2)
-        wide.append(F.abs(corrected).alias(c))
+        # a constant column is not skewed; Spark leaves its skewness undefined
+        settled = F.when(n > 2, F.coalesce(F.nanvl(corrected, F.lit(0.0)), F.lit(0.0)))
+        wide.append(F.abs(settled).alias(c))
     long = _one_row_per_column(df.agg(*wide), columns, "abs_skew").where(F.col("abs_skew").isNotNull())
     level = F.when(F.col("abs_skew") > 2, "severe").when(F.col("abs_skew") > 1, "moderate").otherwise("ok")
     return long.withColumn("level", level).orderBy(F.desc("abs_skew"), "columna").limit(top)

@@ -288,7 +288,7 @@ def group_stat_beyond_broadcast(spark, sf_dir):
     """The join used when the table of statistics is too long for a broadcast."""
     df = requests(spark, sf_dir, ["request_key", "incident_zip", "price"])
     stats = C.drop_missing(df, ["incident_zip"]).groupBy("incident_zip").agg(F.avg("price").alias("mean_price"))
-    joined = J.attach(df, stats, "incident_zip", max_rows=0, hot_share=0.011)
+    joined = J.attach(df, stats, "incident_zip", max_bytes=0)
     return rounded(joined.select("request_key", "incident_zip", "mean_price"), 4)
 
 
@@ -392,13 +392,15 @@ def dedupe_audit(spark, sf_dir):
 
 
 @query(
-    """SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linestatus FROM lineitem)) AS distinct_rows,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linestatus FROM lineitem)) AS duplicate_rows
-FROM lineitem"""
+    """WITH doubled AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)
+SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) AS duplicate_rows
+FROM doubled"""
 )
 def duplicate_rows(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus")
-    return P.duplicate_count(df)
+    """Over whole rows; the first line of every order is there twice."""
+    df = table(spark, sf_dir, "lineitem")
+    return P.duplicate_count(df.unionByName(df.where("l_linenumber = 1")))
 
 
 @query(
@@ -461,3 +463,17 @@ def incompatible_agencies(spark, sf_dir):
     return D.incompatible_values(
         df, "agency", ["1-URGENT", "9-NEVER", "5-LOW"], "complaint_type", ["Brand#11"]
     )
+
+
+@query(
+    """SELECT 'o_orderdate' AS found, strftime(min(o_orderdate), '%Y-%m-%d') AS first_value,
+       strftime(max(o_orderdate), '%Y-%m-%d') AS last_value FROM orders"""
+)
+def date_column_range(spark, sf_dir):
+    """The range of the column that dates an order, found by its name."""
+    df = table(spark, sf_dir, "orders")
+    found = C.find_date_column(df)
+    span = P.value_range(df, found)
+    return span.select(
+        F.lit(found).alias("found"), *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("first_value", "last_value")]
+    )

@@ -240,17 +240,24 @@ def top_complaints(spark, sf_dir):
     return D.top_categories(requests(spark, sf_dir, ["complaint_type"]), "complaint_type")
 
 
-@query()
+@query(
+    """SELECT o_orderkey, o_orderpriority FROM orders
+ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 500"""
+)
 def sampled_requests(spark, sf_dir):
     """A repeatable sample of 500 requests."""
     return D.sample_rows(table(spark, sf_dir, "orders"), ["o_orderkey"], 500).select("o_orderkey", "o_orderpriority")
 
 
-@query()
+@query(
+    f"""WITH {REQUESTS}
+SELECT request_key, latitude, longitude FROM requests WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+ORDER BY md5(CAST(request_key AS VARCHAR) || '|42'), request_key, price, longitude LIMIT 5000"""
+)
 def map_sample(spark, sf_dir):
     """At most 5 000 requests with known coordinates for the map."""
     df = requests(spark, sf_dir, ["request_key", "latitude", "longitude", "price"])
-    return D.map_sample(df, ["request_key", "price", "longitude"], 5000).select("request_key", "latitude", "longitude")
+    return D.map_sample(df, ["request_key"], 5000, ties=["price", "longitude"]).select("request_key", "latitude", "longitude")
 
 
 @query(

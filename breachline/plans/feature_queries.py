@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from breachline.functions import geo, sla, text, times
@@ -40,9 +41,8 @@ COLS = X.RequestColumns(
 )
 
 
-def fold():
-    """The fold the SQL side can compute too."""
-    return F.pmod(F.col("request_key"), F.lit(5)).cast("int")
+#: ``stable_fold`` of the key in SQL.
+FOLD = "CAST('0x' || substr(md5(CAST(request_key AS VARCHAR) || '|42'), 1, 7) AS BIGINT) % 5"
 
 
 # ---- scalar functions ------------------------------------------------------------------
@@ -403,14 +403,14 @@ def kept_by_rank(spark, sf_dir):
 
 
 @query(
-    f"""WITH {SPLITS}, t AS (SELECT request_key, complaint_type, target, request_key % 5 AS fold FROM splits WHERE split = 'train'),
+    f"""WITH {SPLITS}, t AS (SELECT request_key, complaint_type, target, {FOLD} AS fold FROM splits WHERE split = 'train'),
 a AS (SELECT complaint_type, fold, coalesce(sum(target), 0) AS s, count(target) AS c FROM t GROUP BY 1, 2),
 o AS (SELECT complaint_type, fold, (sum(s) OVER (PARTITION BY complaint_type) - s) / nullif(CAST(sum(c) OVER (PARTITION BY complaint_type) - c AS DOUBLE), 0) AS te FROM a)
 SELECT request_key, round(coalesce(te, (SELECT avg(target) FROM t)), 6) AS complaint_type_te
 FROM t LEFT JOIN o USING (complaint_type, fold)"""
 )
 def out_of_fold_encoding(spark, sf_dir):
-    train = cut(splits(spark, sf_dir).where(F.col("split") == "train").withColumn("fold", fold()))
+    train = cut(splits(spark, sf_dir).where(F.col("split") == "train").withColumn("fold", sla.stable_fold(F.col("request_key"))))
     encoded = E.target_encode_oof(train, "complaint_type", "target", "fold")
     return rounded(encoded.select("request_key", "complaint_type_te"))
 
@@ -456,7 +456,26 @@ def one_hot_columns(spark, sf_dir):
     df = cut(splits(spark, sf_dir).select("request_key", "agency", "channel", "split"))
     train = df.where((F.col("split") == "train") & (F.col("agency") != "1-URGENT"))
     val = df.where(F.col("split") == "val")
-    return E.one_hot(train, val, ["agency", "channel"]).drop("agency", "channel", "split")
+    levels = {c: E.one_hot_levels(train, c) for c in ("agency", "channel")}
+    return E.one_hot_columns(val, levels).drop("agency", "channel", "split")
+
+
+@query(
+    f"""WITH {SPLITS}, levels AS (
+  SELECT incident_zip, row_number() OVER (ORDER BY CAST(incident_zip AS VARCHAR)) - 2 AS place
+  FROM (SELECT DISTINCT incident_zip FROM splits WHERE split = 'train' AND incident_zip IS NOT NULL))
+SELECT request_key, CASE WHEN place >= 0 THEN CAST(place AS BIGINT) END AS place, (SELECT count(*) - 1 FROM levels) AS width
+FROM splits LEFT JOIN levels USING (incident_zip) WHERE split = 'val'"""
+)
+def one_hot_vectors(spark, sf_dir):
+    """Where the one of the vector is, over as many levels as the training rows have."""
+    df = cut(splits(spark, sf_dir).select("request_key", F.col("incident_zip").cast("string").alias("zip"), "split"))
+    hot = E.one_hot(df.where("split = 'train'"), df.where("split = 'val'"), ["zip"])
+    ones = vector_to_array("zip_onehot")
+    place = F.array_position(ones, 1.0)
+    return hot.select(
+        "request_key", F.when(place > 0, place - 1).alias("place"), F.size(ones).cast("bigint").alias("width")
+    )
 
 
 @query(
@@ -490,7 +509,7 @@ _ENCODED = ["complaint_type", "incident_zip", "borough_canal"]
 GOLD = (
     SPLITS
     + """,
-prepared AS (SELECT *, request_key % 5 AS fold, concat_ws('_', borough, channel) AS borough_canal, 'noche' AS turno,
+prepared AS (SELECT *, CAST('0x' || substr(md5(CAST(request_key AS VARCHAR) || '|42'), 1, 7) AS BIGINT) % 5 AS fold, concat_ws('_', borough, channel) AS borough_canal, 'noche' AS turno,
        date_diff('day', DATE '2010-01-01', CAST(created_ts AS DATE)) AS day_no FROM splits),
 t AS (SELECT * FROM prepared WHERE split = 'train'),
 valid AS (SELECT * FROM t WHERE resolution_time_days >= 0),
@@ -572,7 +591,7 @@ def gold(spark, sf_dir):
     """Gold features of the fixture and the maps fitted for them."""
     base = cut(silver(spark, sf_dir), "silver")
     return X.build_features(
-        L.temporal_split(base, "created_ts"), fixture_lookup(spark), COLS, fold=fold(), keep=("request_key",), accuracy=FINE
+        L.temporal_split(base, "created_ts"), fixture_lookup(spark), COLS, keep=("request_key",), accuracy=FINE
     )
 
 

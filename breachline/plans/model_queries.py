@@ -66,8 +66,8 @@ def logistic_metrics(spark, sf_dir):
     scaled = cut(E.standardize(part(df, "train"), df, FEATURES), "scaled")
     train = E.with_class_weight(part(scaled, "train"))
     models = {
-        "LR (sin balanceo)": M.fit_logistic(train, FEATURES, max_iter=50),
-        "LR + class_weight": M.fit_logistic(train, FEATURES, weight="weight", max_iter=50),
+        "LR (sin balanceo)": M.fit_logistic(train, FEATURES),
+        "LR + class_weight": M.fit_logistic(train, FEATURES, weight="weight"),
     }
     return V.model_metrics(M.predictions_table(models, part(scaled, "val"), FEATURES, "request_key"))
 
@@ -140,14 +140,14 @@ def forest_importance(spark, sf_dir):
 @query()
 def permutation_importance(spark, sf_dir):
     df, model = _forest(spark, sf_dir)
-    return I.permutation_importance(model, part(df, "val"), "request_key", repeats=2)
+    return I.permutation_importance(model, part(df, "val"), "request_key")
 
 
 @query()
 def contribution_importance(spark, sf_dir):
     """Mean absolute sampled contributions of a forest over 500 requests."""
     df, model = _forest(spark, sf_dir)
-    parts = I.feature_contributions(model, part(df, "val"), "request_key", 500, permutations=4)
+    parts = I.feature_contributions(model, part(df, "val"), "request_key", 500)
     return I.mean_abs_contribution(parts)
 
 
@@ -155,7 +155,7 @@ def contribution_importance(spark, sf_dir):
 def linear_contribution_importance(spark, sf_dir):
     df = judged_splits(spark, sf_dir)
     scaled = cut(E.standardize(part(df, "train"), df, FEATURES), "scaled")
-    model = M.fit_logistic(part(scaled, "train"), FEATURES, max_iter=50)
+    model = M.fit_logistic(part(scaled, "train"), FEATURES)
     parts = I.linear_contributions(model, part(scaled, "train"), part(scaled, "val"), "request_key")
     return I.mean_abs_contribution(parts)
 

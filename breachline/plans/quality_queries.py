@@ -9,7 +9,7 @@ from breachline.operators import dashboards as D
 from breachline.operators import profiles as P
 from breachline.operators import reports as R
 from breachline.operators import statistics as S
-from breachline.plans.fixture import FINE, REQUESTS, SILVER, requests, rounded, silver, table
+from breachline.plans.fixture import FIELDS, REQUESTS, SILVER, requests, rounded, silver, table
 from breachline.plans.registry import query
 from breachline.settings import cut
 
@@ -84,7 +84,7 @@ def _bronze(spark, sf_dir):
 
 
 def _bronze_report(spark, sf_dir):
-    return P.health_report(cut(_bronze(spark, sf_dir), "bronze"), accuracy=FINE)
+    return P.health_report(cut(_bronze(spark, sf_dir), "bronze"))
 
 
 def _both_reports(spark, sf_dir):
@@ -94,17 +94,16 @@ def _both_reports(spark, sf_dir):
     return cut(first, "report-bronze"), cut(second, "report-silver")
 
 
+_NULLS = ", ".join(f"count_if({c} IS NULL)" for c in FIELDS)
+
+
 @query(
     f"""WITH {REQUESTS}
 SELECT columna, nulos_n, round(nulos_n * 100.0 / (SELECT count(*) FROM requests), 6) AS nulos_pct FROM (
-  SELECT unnest(['closed_ts', 'agency', 'incident_zip', 'latitude']) AS columna,
-         unnest([count_if(closed_ts IS NULL), count_if(agency IS NULL), count_if(incident_zip IS NULL),
-                 count_if(latitude IS NULL)]) AS nulos_n
-  FROM requests)"""
+  SELECT unnest({FIELDS}) AS columna, unnest([{_NULLS}]) AS nulos_n FROM requests)"""
 )
 def null_profile(spark, sf_dir):
-    df = requests(spark, sf_dir, ["closed_ts", "agency", "incident_zip", "latitude"])
-    return rounded(P.null_profile(df))
+    return rounded(P.null_profile(requests(spark, sf_dir).select(*FIELDS)))
 
 
 @query(f"WITH {REQUESTS}, bronze AS (SELECT {_COLUMNS} FROM requests) {_missing_sql('bronze')}")
@@ -129,7 +128,7 @@ def health_report(spark, sf_dir):
 
 @query(f"WITH {REQUESTS}, bronze AS (SELECT {_COLUMNS} FROM requests) {_outlier_sql('bronze')}")
 def iqr_outliers(spark, sf_dir):
-    return rounded(P.iqr_outliers(_bronze(spark, sf_dir), accuracy=FINE))
+    return rounded(P.iqr_outliers(_bronze(spark, sf_dir)))
 
 
 @query(
@@ -200,7 +199,7 @@ def outlier_severity(spark, sf_dir):
     df = requests(spark, sf_dir, ["price", "quantity", "discount"])
     q = F.col("quantity")
     made = df.select("price", (q * q * q).alias("q3"), (F.col("discount") * q * q).alias("dq"))
-    return R.outlier_severity(P.iqr_outliers(made, accuracy=FINE))
+    return R.outlier_severity(P.iqr_outliers(made))
 
 
 @query(

@@ -27,18 +27,16 @@ def csv_with_inferred_types(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id, length(text) AS n_chars, replace(replace(text, chr(10), ' '), chr(13), ' ') = '' AS is_empty
-FROM (SELECT doc_id, '"' || substr(lang, 1, 1) || '", ' || source || ' "end"' AS text FROM documents)"""
+    """SELECT doc_id, '"' || text || '", ' || source || ' "end"' AS text FROM documents"""
 )
 def csv_with_doubled_quotes(spark, sf_dir):
+    """Whole texts with quotes, commas and line breaks, written as CSV and read again."""
     path = _folder(spark, "quoted-csv")
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.concat(F.lit('"'), F.substring("lang", 1, 1), F.lit('", '), "source", F.lit(' "end"')).alias("text"),
+        "doc_id", F.concat(F.lit('"'), "text", F.lit('", '), "source", F.lit(' "end"')).alias("text")
     )
     docs.write.options(header=True, quote='"', escape='"').csv(path)
-    back = readers.read_csv_quoted(spark, path, "doc_id long, text string")
-    return back.select("doc_id", F.length("text").alias("n_chars"), (F.col("text") == "").alias("is_empty"))
+    return readers.read_csv_quoted(spark, path, "doc_id long, text string", multiline=True)
 
 
 @query(

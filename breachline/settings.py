@@ -8,12 +8,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A table is only hinted for broadcast after its rows were counted against this bound.
-BROADCAST_ROWS = 200_000
+#: A table is only hinted for broadcast if its stored bytes stay within this bound.
+BROADCAST_BYTES = 16 << 20
 
-#: Keys holding at least this share of the rows are joined apart from the others;
-#: at most 1 / HOT_SHARE keys can qualify, so their table always fits in a broadcast.
-HOT_SHARE = 0.0005
+#: Beyond the bound every row goes to one of this many copies of the table's rows, so a key
+#: with a third of all rows is spread over as many tasks.
+SALTS = 16
 
 #: Accuracy of percentile_approx: rank error 1/accuracy. Every task ships a sketch whose size
 #: grows with it, so it stays at Spark's own default unless a caller asks for more.
@@ -68,5 +68,10 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of a table by Spark's own statistics: exact for files, huge where unknown."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from breachline.operators.joins import attach_by_hot_keys
-from breachline.settings import BROADCAST_ROWS
+from breachline.operators.joins import attach_salted
+from breachline.settings import BROADCAST_BYTES
 
 MAP_SCHEMA = "key string, key_2 string, value double, map_name string"
 
@@ -87,20 +87,21 @@ class Fitted:
         return renamed if len(keys) == 2 else renamed.drop("key_2")
 
     def attach(self, df: DataFrame, names: Sequence[str], *keys: Column) -> DataFrame:
-        """Left join of maps sharing a key. Their stored sizes decide about a broadcast."""
+        """Left join of maps sharing a key. Their stored bytes decide about a broadcast."""
         at = [f"_key{i}" for i in range(len(keys))]
         keyed = df.withColumns({a: k.cast("string") for a, k in zip(at, keys)})
         table = self.table(names, at)
-        if sum(self.sizes.get(n, 0) for n in names) <= BROADCAST_ROWS:
+        if sum(self.sizes.get(n, 0) for n in names) <= BROADCAST_BYTES:
             joined = keyed.join(F.broadcast(table), at, "left")
         else:
-            joined = attach_by_hot_keys(keyed, table, at)
+            joined = attach_salted(keyed, table, at)
         return joined.drop(*at)
 
 
 def load_mappings(spark: SparkSession, path: str) -> Fitted:
     maps = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/maps")
-    sizes = {r["map_name"]: r["n"] for r in maps.groupBy("map_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    row = 24 + F.octet_length("key") + F.coalesce(F.octet_length("key_2"), F.lit(0))
+    sizes = {r["map_name"]: r["bytes"] for r in maps.groupBy("map_name").agg(F.sum(row).alias("bytes")).collect()}
     return Fitted(maps, spark.read.parquet(f"{path}/globals").first(), sizes, path)
 
 

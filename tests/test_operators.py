@@ -118,18 +118,44 @@ def test_incompatible_filters_are_empty_selections(spark):
 # ---- joins with hot keys ---------------------------------------------------------------
 
 
-def test_hot_key_join_equals_plain_join(spark):
+def test_salted_join_equals_plain_join(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id"
     )
     table = spark.range(40).select(F.col("id").cast("int").cast("long").alias("k"), (F.col("id") * 2).alias("v"))
     plain = sorted(rows(df.join(table, "k", "left").select("id", "v")))
-    hot = J.attach(df, table, "k", max_rows=0, hot_share=0.1)
-    assert sorted(rows(hot.select("id", "v"))) == plain
-    assert J.hot_keys(df.dropna(), "k", 0.1).count() == 1
+    far = J.attach(df, table, "k", max_bytes=0)
+    assert far.columns == df.join(table, "k", "left").columns
+    assert sorted(rows(far.select("id", "v"))) == plain
+    only_key = J.attach(df.select("k"), table, "k", max_bytes=0)
+    assert only_key.count() == 3000
     assert "BroadcastHashJoin" in J.attach(df, table, "k")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_chained_salted_joins_read_their_input_once(spark, tmp_path):
+    spark.range(500).selectExpr("id % 9 AS k", "id").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    for i in range(10):
+        df = J.attach(df, spark.range(9).selectExpr("id AS k", f"id AS v{i}"), "k", max_bytes=0)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 10
+    assert plan.count("[k#") >= 1 and df.inputFiles() is not None
+    scans = [line for line in plan.splitlines() if "Relation" in line and "id#" in line]
+    assert len(scans) == 1
+    assert df.count() == 500
+
+
+def test_salted_join_takes_a_stream(spark, tmp_path):
+    spark.range(100).selectExpr("id % 5 AS k", "id").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k long, id long").parquet(str(tmp_path / "in"))
+    table = spark.range(3).selectExpr("id AS k", "id * 10 AS v")
+    out = J.attach(stream, table, "k", max_bytes=0).writeStream.format("parquet")
+    out = out.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+    out.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 100 and got.where("v IS NOT NULL").count() == 60
+
+
 def test_fallbacks(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 1)], "z int, d int")
     exact = spark.createDataFrame([(1, 1, 10)], "z int, d int, v int")
@@ -266,8 +292,35 @@ def test_encodings_of_unseen_values(spark):
     assert te == {"a": 0.5, "b": 1.0, "zz": 0.5, None: 0.5}
     idx = {r.c: r.c_idx for r in E.index_categories(train, new, ["c"]).collect()}
     assert idx == {"a": 0.0, "b": 1.0, "zz": 2.0, None: 2.0}
-    hot = {r.c: r.c_b for r in E.one_hot(train, new, ["c"]).collect()}
+    levels = E.one_hot_levels(train, "c")
+    hot = {r.c: r.c_b for r in E.one_hot_columns(new, {"c": levels}).collect()}
     assert hot == {"a": 0, "b": 1, "zz": 0, None: 0}
+    sparse = {r.c: r.c_onehot.toArray().tolist() for r in E.one_hot(train, new, ["c"]).collect()}
+    assert sparse == {"a": [0.0], "b": [1.0], "zz": [0.0], None: [0.0]}
+
+
+def test_one_hot_of_two_thousand_levels(spark):
+    train = spark.range(2000).selectExpr("lpad(id, 5, '0') AS c")
+    got = E.one_hot(train, train, ["c"], drop_first=False).collect()
+    assert all(r.c_onehot.size == 2000 and r.c_onehot[int(r.c)] == 1.0 for r in got)
+
+
+def test_profiles_of_odd_columns(spark):
+    df = spark.createDataFrame([(0.0, 1.0, "a"), (-0.0, 1.0, "b"), (2.0, 1.0, None), (None, 1.0, "")], "x double, y double, s string")
+    counts = {r.columna: r for r in P.missing_profile(df).collect()}
+    assert counts["x"].unicos_n == 3 and counts["s"].nulos_n == 2
+    assert {r.columna: r.abs_skew for r in P.skewness_profile(df).collect()}["y"] == 0.0
+    empty = {r.columna: r for r in P.missing_profile(df.where("false")).collect()}
+    assert set(empty) == {"x", "y", "s"} and empty["x"].total_filas_dataset == 0 and empty["x"].nulos_pct is None
+    fences = {r.columna: r for r in P.iqr_outliers(df.where("false")).collect()}
+    assert set(fences) == {"x", "y"} and fences["x"].outliers_n == 0
+
+
+def test_exact_fences(spark):
+    df = spark.range(1001).selectExpr("cast(id AS double) AS x", "if(id = 7, 99999, id % 4) AS z")
+    got = {r.columna: r for r in P.iqr_outliers(df).collect()}
+    assert (got["x"].iqr_lower, got["x"].iqr_upper) == (-500.0, 1500.0)
+    assert got["x"].outliers_n == 0 and got["z"].outliers_n == 1
 
 
 # ---- evaluation ------------------------------------------------------------------------

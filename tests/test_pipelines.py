@@ -111,7 +111,7 @@ def test_later_splits_do_not_change_fitted_maps(spark, silver):
 
 def test_maps_beyond_the_broadcast_bound_give_the_same_features(built, monkeypatch, spark, silver):
     gold, fitted = built
-    monkeypatch.setattr(mappings, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mappings, "BROADCAST_BYTES", 0)
     ready = X.prepare_requests(W.split_silver(silver), inline_lookup(spark), COLS)
     keys = [F.col("Agency"), F.col("Borough")]
     far = fitted.attach(ready, ["centroid_lat", "centroid_lon"], *keys)
