@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,3 +52,34 @@ def utf8(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
     kind = pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()
     for value in values.cast(kind):
         yield value.as_py() or b""
+
+
+#: Rows that a Python task unpacks at once, and characters it works on at once.
+ROWS_AT_ONCE = 500
+CHARS_AT_ONCE = 1 << 19
+
+
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of bounded length; freed buffers go back at the end.
+
+    Workers serve one task after the other, so what a task leaves behind would add up.
+    """
+    for batch in batches:
+        for at in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
+def portions(texts: Sequence[str | None], chars: int = CHARS_AT_ONCE) -> Iterator[list[int]]:
+    """Places of the texts in portions of about ``chars`` characters; a longer text is alone."""
+    part, size = [], 0
+    for i, text in enumerate(texts):
+        n = len(text or "")
+        if part and size + n > chars:
+            yield part
+            part, size = [], 0
+        part.append(i)
+        size += n
+    if part:
+        yield part
