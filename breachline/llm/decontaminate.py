@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from breachline.llm.common import pieces, portions
 from breachline.llm.tokens import SliceHash
 from breachline.settings import cut
 
@@ -38,7 +39,6 @@ BLOCK_PARTS = 20_000
 
 _K1, _B = 1.2, 0.75
 _POSTINGS = 32
-_CHUNK = 1 << 20
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _WEIGHTS = np.array([0x9E3779B97F4A7C15 ** (i + 1) % (1 << 64) for i in range(8)], np.uint64)
@@ -272,18 +272,6 @@ def _index_blocks(items: DataFrame, id_col: str, text_col: str, block: int) -> I
         yield Index(some.collect(), postings.join(some.select("uid"), "uid", "left_semi").collect())
 
 
-def _chunks(texts: list[str | None]) -> Iterator[list[int]]:
-    part, size = [], 0
-    for i, text in enumerate(texts):
-        part.append(i)
-        size += len(text or "")
-        if size > _CHUNK:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def find_leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE,
@@ -306,9 +294,9 @@ def find_leaks(
     for index in _index_blocks(items, item_col, item_text_col, block):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches):
                 texts, rows = batch.column(1).to_pylist(), []
-                for part in _chunks(texts):
+                for part in portions(texts):
                     some = [texts[i] or "" for i in part]
                     for text, *rest in search(index, some, least_score, least_overlap):
                         rows.append((part[text], *rest))
@@ -341,10 +329,10 @@ def drop_leaks(
     for index in _index_blocks(items, item_col, item_text_col, block):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches):
                 texts = batch.column(at).to_pylist()
                 keep = np.ones(len(texts), bool)
-                for part in _chunks(texts):
+                for part in portions(texts):
                     some = [texts[i] or "" for i in part]
                     keep[[part[f[0]] for f in search(index, some, least_score, least_overlap)]] = False
                 yield batch.filter(pa.array(keep))

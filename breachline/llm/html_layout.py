@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from breachline.llm.common import pieces
+
 # Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("head script style template noscript iframe object audio video canvas svg math select "
@@ -274,7 +276,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     kind = source.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [render(html) if html else "" for html in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()),

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from breachline.llm.common import pieces, portions
+
 UNKNOWN = "und"
 #: Training rows of one language are thinned by a hash of their doc_id to about this many.
 PER_LANGUAGE = 5_000
@@ -26,7 +28,6 @@ _BUCKETS = 1 << 16
 _SEGMENT = 32
 _SMOOTHING = 0.5
 _STEPS = 12
-_CHUNK = 1 << 21
 _ASCII = np.array(
     [ord(" ")] * 65 + [*range(97, 123)] + [ord(" ")] * 6 + [*range(97, 123)] + [ord(" ")] * 5
     + [*range(128, 256)], dtype=np.uint8,
@@ -73,7 +74,7 @@ def learn(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in pieces(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if lang not in seen:
                     seen[lang] = np.zeros(_BUCKETS, np.int64)
@@ -148,6 +149,13 @@ def identify(texts: list[bytes], model: Languages, penalty: float = PENALTY):
     return main, shares.max(1) * sure
 
 
+def _readable(texts: list[str | None], model: Languages) -> Iterator[list[int]]:
+    """Portions of the texts that have a letter, if there is anything to compare them with."""
+    for part in portions(texts):
+        if some := [i for i in part if texts[i] and model.names and _LETTER.search(texts[i])]:
+            yield some
+
+
 def predict(
     docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col: str = "text",
     penalty: float = PENALTY,
@@ -161,23 +169,11 @@ def predict(
     """
     names = pa.array([*model.names, UNKNOWN])
 
-    def chunks(texts: list[str | None]) -> Iterator[list[int]]:
-        part, size = [], 0
-        for i, text in enumerate(texts):
-            if text and model.names and _LETTER.search(text):
-                part.append(i)
-                size += len(text)
-            if size > _CHUNK:
-                yield part
-                part, size = [], 0
-        if part:
-            yield part
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(2).to_pylist()
             code, score = np.full(len(texts), len(model.names)), np.zeros(len(texts))
-            for part in chunks(texts):
+            for part in _readable(texts, model):
                 code[part], score[part] = identify([texts[i].encode() for i in part], model, penalty)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), names.take(pa.array(code)), pa.array(score)],
@@ -204,15 +200,14 @@ def drop_unknown(
     """
     if not model.names:
         return docs
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.lower() if t else t for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+        for batch in pieces(batches):
+            texts = [t.lower() if t else t for t in batch.column(at).to_pylist()]
             keep = np.zeros(len(texts), bool)
-            part = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-            for a in range(0, len(part), _CHUNK >> 12):
-                some = part[a : a + (_CHUNK >> 12)]
-                keep[some] = identify([texts[i].encode() for i in some], model)[1] >= least
+            for part in _readable(texts, model):
+                keep[part] = identify([texts[i].encode() for i in part], model)[1] >= least
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -19,12 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import text_of
+from breachline.llm.common import pieces, portions, text_of
 from breachline.llm.tokens import encoder
 
 END = 0
 _WAITING = 1024
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 #: Sequence numbers of a partition start at its number times this.
 _PER_PARTITION = 1 << 40
 
@@ -164,20 +164,14 @@ def pack(
             ])
 
         end = np.array([END], np.uint32)
-        for batch in batches:
+        for batch in pieces(batches):
             kind = batch.column(0).type
             keys, texts, asked = (batch.column(i).to_pylist() for i in range(3))
-            first = 0
-            while first < len(texts):
-                last, size = first, 0
-                while last < len(texts) and (size == 0 or size + len(texts[last]) <= _CHUNK):
-                    size += len(texts[last]) + 1
-                    last += 1
-                bodies = words.encode(texts[first:last])
-                fronts = words.encode(asked[first:last])
-                for who, front, body in zip(keys[first:last], fronts, bodies):
-                    packer.add(who, np.concatenate((front, body, end)), len(body) + 1)
-                first = last
+            for part in portions(texts, _CHUNK):
+                bodies = words.encode([texts[i] for i in part])
+                fronts = words.encode([asked[i] for i in part])
+                for i, front, body in zip(part, fronts, bodies):
+                    packer.add(keys[i], np.concatenate((front, body, end)), len(body) + 1)
             yield take()
         packer.pack()
         if packer.rows:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import free_name, numbered, ordered, utf8
+from breachline.llm.common import free_name, numbered, ordered, pieces, utf8
 from breachline.llm.components import components
 from breachline.settings import cut
 
@@ -32,7 +32,8 @@ WORDS = 4
 #: Blocks up to this many fingerprints are compared as they are; larger ones are split further.
 COMPARED = 512
 
-_CHUNK = 256
+_TEXTS = 256
+_SHINGLES = 100_000
 
 
 def shingle_hashes(text: bytes, words: int = WORDS) -> list[int]:
@@ -70,13 +71,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS
     """``(who, fp)`` of every row: SimHash over the whole text, zero where it has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done, held = [], []
+        for batch in pieces(batches):
+            done, held, size = [], [], 0
             for text in utf8(batch, 1):
                 held.append(shingle_hashes(text, words))
-                if len(held) == _CHUNK or len(held[-1]) > 100_000:
+                size += len(held[-1])
+                if len(held) == _TEXTS or size > _SHINGLES:
                     done.append(majority_bits(held))
-                    held = []
+                    held, size = [], 0
             done.append(majority_bits(held) if held else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(done))], ["who", "fp"]

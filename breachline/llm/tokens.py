@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 
 #: Words the cache may hold; a full cache starts anew.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 #: Code points with the White_Space property, as fixed values.
