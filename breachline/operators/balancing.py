@@ -18,14 +18,20 @@ _NEAR = "i long, near array<struct<d: double, foreign: boolean, j: long>>"
 
 def _nearest(own: pd.DataFrame, other: pd.DataFrame, k: int, foreign: bool) -> pd.DataFrame:
     """The k nearest ``other`` rows of every ``own`` row; equal distances go to the least index."""
+    other = other.sort_values("i")
     x, y = np.stack(own["x"].to_numpy()), np.stack(other["x"].to_numpy())
-    j = other["i"].to_numpy()
-    found = []
-    for i, row in zip(own["i"].to_numpy(), x):
-        d = np.sqrt(((y - row) ** 2).sum(axis=1))
-        best = [b for b in np.lexsort((j, d))[: k + 1] if j[b] != i][:k]
-        found.append([{"d": float(d[b]), "foreign": foreign, "j": int(j[b])} for b in best])
-    return pd.DataFrame({"i": own["i"].to_numpy(), "near": found})
+    i, j = own["i"].to_numpy(), other["i"].to_numpy()
+    squares = np.zeros((len(x), len(y)))
+    for c in range(x.shape[1]):
+        squares += (x[:, c, None] - y[None, :, c]) ** 2
+    squares[i[:, None] == j[None, :]] = np.inf
+    best = np.argsort(squares, axis=1, kind="stable")[:, :k]
+    d = np.sqrt(np.take_along_axis(squares, best, axis=1))
+    found = [
+        [{"d": a, "foreign": foreign, "j": b} for a, b in zip(near, at) if a < np.inf]
+        for near, at in zip(d.tolist(), j[best].tolist())
+    ]
+    return pd.DataFrame({"i": i, "near": found})
 
 
 def nearest_neighbours(

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -219,15 +221,17 @@ def temporal_random_search(
     weight: str | None = None,
     folds: int = 5,
     seed: int = SEED,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Mean average precision of random settings over folds that always test later rows.
 
     The loop runs over settings and folds, never over rows; one number per setting comes back.
+    ``parallelism`` settings are fitted at the same time.
     """
     spark = train.sparkSession
     folded = cut(expanding_folds(plain_numbers(train, features), order, folds), "folds")
-    results = []
-    for settings in draw_settings(grid, draws, seed):
+
+    def measure(settings: dict[str, Any]) -> tuple[str, float | None]:
         tested = []
         for fold in range(folds):
             part = fold_roles(folded, fold)
@@ -235,7 +239,10 @@ def temporal_random_search(
             scored = probability_of_breach(model, part.where(F.col("role") == "test"), "score")
             tested.append(scored.select(F.lit(fold).alias("fold"), F.col(target).alias("y"), "score"))
         per_fold = ranking_metrics(union_all(tested), by=["fold"])
-        results.append((json.dumps(settings, sort_keys=True), per_fold.agg(F.avg("average_precision")).first()[0]))
+        return json.dumps(settings, sort_keys=True), per_fold.agg(F.avg("average_precision")).first()[0]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = list(pool.map(inheritable_thread_target(measure), draw_settings(grid, draws, seed)))
     best = max(results, key=lambda r: (-1.0 if r[1] is None else r[1], r[0]))
     table = spark.createDataFrame(results, "settings string, average_precision double")
     return table.orderBy(F.desc_nulls_last("average_precision"), F.desc("settings")), json.loads(best[0])

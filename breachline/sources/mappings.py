@@ -60,11 +60,12 @@ def save_feature_order(spark: SparkSession, features: Sequence[str], path: str)
 
 @dataclass(frozen=True)
 class Fitted:
-    """Stored maps of one training run."""
+    """Stored maps of one training run, with the rows and bytes of each."""
 
     maps: DataFrame
     overall: Row
     sizes: dict[str, int]
+    stored: dict[str, int]
     path: str
 
     def value(self, name: str) -> float | None:
@@ -91,7 +92,7 @@ class Fitted:
         at = [f"_key{i}" for i in range(len(keys))]
         keyed = df.withColumns({a: k.cast("string") for a, k in zip(at, keys)})
         table = self.table(names, at)
-        if sum(self.sizes.get(n, 0) for n in names) <= BROADCAST_BYTES:
+        if sum(self.stored.get(n, 0) for n in names) <= BROADCAST_BYTES:
             joined = keyed.join(F.broadcast(table), at, "left")
         else:
             joined = attach_salted(keyed, table, at)
@@ -101,8 +102,9 @@ class Fitted:
 def load_mappings(spark: SparkSession, path: str) -> Fitted:
     maps = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/maps")
     row = 24 + F.octet_length("key") + F.coalesce(F.octet_length("key_2"), F.lit(0))
-    sizes = {r["map_name"]: r["bytes"] for r in maps.groupBy("map_name").agg(F.sum(row).alias("bytes")).collect()}
-    return Fitted(maps, spark.read.parquet(f"{path}/globals").first(), sizes, path)
+    found = maps.groupBy("map_name").agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("bytes")).collect()
+    sizes, stored = ({r["map_name"]: r[c] for r in found} for c in ("n", "bytes"))
+    return Fitted(maps, spark.read.parquet(f"{path}/globals").first(), sizes, stored, path)
 
 
 def load_feature_order(spark: SparkSession, path: str) -> list[str]:

@@ -11,7 +11,7 @@ from breachline.settings import release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

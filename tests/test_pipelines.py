@@ -121,7 +121,9 @@ def test_maps_beyond_the_broadcast_bound_give_the_same_features(built, monkeypat
     assert sorted(map(str, far.select(*shown).collect())) == sorted(map(str, near.select(*shown).collect()))
 
 
-def test_stored_model_scores_new_requests_alike_in_batch_and_stream(spark, built, forest, silver, tmp_path):
+def test_stored_model_scores_new_requests_alike_in_batch_and_stream(
+    spark, built, forest, silver, tmp_path, monkeypatch
+):
     _, fitted = built
     M.save_model(forest, str(tmp_path / "model"), {"threshold": 0.5})
     model, metadata = M.load_model(spark, str(tmp_path / "model"))
@@ -143,14 +145,22 @@ def test_stored_model_scores_new_requests_alike_in_batch_and_stream(spark, built
         assert r.prediccion == int(r.probabilidad_incumplir >= 0.5)
         assert r.prioridad in ("CRÍTICA", "ALTA", "MEDIA", "BAJA")
 
-    source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    new.write.parquet(source)
-    query = score_new_files(
-        spark, source, new.schema, target, str(tmp_path / "state"), fitted, model, inline_lookup(spark), COLS
+    unplaced = score_requests(
+        new.withColumn("latitude", F.lit(None).cast("double")), fitted, model, inline_lookup(spark), COLS
     )
-    query.awaitTermination(120)
-    streamed = spark.read.parquet(target)
-    assert sorted(map(str, streamed.collect())) == sorted(map(str, scored.collect()))
+    assert [r.probabilidad_incumplir for r in unplaced.collect()] == [None] * 4
+
+    source = str(tmp_path / "in")
+    new.write.parquet(source)
+    for bound in (mappings.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(mappings, "BROADCAST_BYTES", bound)
+        target = str(tmp_path / f"out{bound}")
+        query = score_new_files(
+            spark, source, new.schema, target, str(tmp_path / f"state{bound}"), fitted, model, inline_lookup(spark), COLS
+        )
+        query.awaitTermination(240)
+        streamed = spark.read.parquet(target)
+        assert sorted(map(str, streamed.collect())) == sorted(map(str, scored.collect()))
 
 
 def test_importances(built, forest):
