@@ -23,6 +23,8 @@ UNKNOWN = "und"
 PER_LANGUAGE = 5_000
 #: One more language must raise the log likelihood by this, times the log of the segments.
 PENALTY = 3.0
+#: A document stays in a corpus if its main language scores at least this.
+LEAST_SHARE = 1 / 3
 
 _BUCKETS = 1 << 16
 _SEGMENT = 32
@@ -192,11 +194,12 @@ def predict(
 
 def drop_unknown(
     docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col: str = "text",
-    least: float = 0.5,
+    least: float = LEAST_SHARE,
 ) -> DataFrame:
-    """The rows of ``docs`` in which one learned language holds at least ``least`` of the text.
+    """The rows of ``docs`` in which one learned language scores at least ``least``.
 
-    Texts without a letter go, and mixtures without a majority. Nothing learned keeps all.
+    Texts without a letter go, and mixtures in which no language holds its part. Nothing
+    learned keeps all.
     """
     if not model.names:
         return docs
