@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import ordered, text_of, utf8
+from breachline.llm.common import ordered, pieces, text_of, utf8
 from breachline.llm.tokens import SliceHash
 from breachline.settings import cut, shuffle_width
 
@@ -75,8 +75,8 @@ def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``who, digest, n_bytes`` and the anchors of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = pa.list_(pa.int64())
-        for batch in batches:
+        lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        for batch in pieces(batches):
             digests, sizes, found = [], [], []
             for data in utf8(batch, 1):
                 digests.append(sha256(data).digest())
@@ -84,48 +84,48 @@ def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 found.append(anchors(data))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-                 *[pa.array([f[i] for f in found], lists) for i in range(3)]],
+                 *[pa.array([f[i] for f in found], kind) for i, kind in enumerate(lists)]],
                 ["who", "digest", "n_bytes", "places", "anchor", "around"],
             )
 
     source = docs.select(ordered(id_col).alias("who"), text_of(text_col))
     kind = source.schema["who"].dataType.simpleString()
     return source.mapInArrow(
-        run, f"who {kind}, digest binary, n_bytes bigint, places array<bigint>, "
+        run, f"who {kind}, digest binary, n_bytes bigint, places array<int>, "
         "anchor array<bigint>, around array<bigint>",
     )
 
 
 def _repeated(texts: DataFrame) -> DataFrame:
-    """Per text the anchors that occur more than once, with what is known of them."""
-    spread = texts.select("digest", "first", F.explode(
+    """Per text number the anchors that occur more than once, with what is known of them."""
+    spread = texts.select("number", F.explode(
         F.arrays_zip("places", "anchor", "around")).alias("a")
-    ).select("digest", F.col("a.places").alias("place"), F.col("a.anchor").alias("anchor"),
-             F.col("a.around").alias("around"), F.struct("first", "digest", "a.places").alias("at"))
+    ).select("number", F.col("a.places").alias("place"), F.col("a.anchor").alias("anchor"),
+             F.col("a.around").alias("around"))
     entries = spread.groupBy("anchor", "around").agg(
-        F.count(F.lit(1)).alias("n"), F.min("at").alias("least")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("number", "place")).alias("least")
     )
     kinds = entries.groupBy("anchor").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     ).where("total > 1")
     known = entries.join(kinds, "anchor").select("anchor", "around", "n", "kinds", "least")
-    return spread.join(known, ["anchor", "around"]).groupBy("digest").agg(F.collect_list(F.struct(
-        "place", "anchor", "kinds", (F.col("n") > 1).alias("many"),
-        (F.col("at") == F.col("least")).alias("first"),
+    first = (F.col("number") == F.col("least.number")) & (F.col("place") == F.col("least.place"))
+    return spread.join(known, ["anchor", "around"]).groupBy("number").agg(F.collect_list(F.struct(
+        "place", "anchor", "kinds", (F.col("n") > 1).alias("many"), first.alias("first"),
     )).alias("found"))
 
 
 def _surroundings(touched: DataFrame) -> DataFrame:
     """The bytes around each anchor whose surroundings differ, one row per different ones."""
     rows = touched.select(
-        "first", "digest", F.encode("text", "UTF-8").alias("data"),
+        "number", F.encode("text", "UTF-8").alias("data"),
         F.explode(F.filter("found", lambda f: f["first"] & (f["kinds"] > 1))).alias("f"),
     )
-    place = F.col("f.place").cast("int")
+    place = F.col("f.place")
     low = F.greatest(place - _SIDE, F.lit(0))
     return rows.select(
         F.col("f.anchor").alias("key"), F.lit(0).alias("low"), F.lit(_SIDE).alias("high"),
-        "first", "digest", F.col("f.place").alias("place"), F.col("f.kinds").alias("members"),
+        "number", F.col("f.place").alias("place"), F.col("f.kinds").alias("members"),
         F.substring("data", low + 1, place - low).alias("before"),
         F.substring("data", place + 1, F.lit(LENGTH)).alias("after"),
     )
@@ -156,59 +156,109 @@ def factors(texts: list[bytes], starts: np.ndarray, owner: np.ndarray, place: np
     return earlier, later
 
 
-def _sort_parts(rows: DataFrame, both: bool) -> DataFrame:
-    """Sort the starts around each key and give the repeated stretch of each row."""
-
-    def solve(part: list[dict]) -> list[tuple]:
-        texts = [r["before"] + r["after"] for r in part]
-        names = [(r["first"]["absent"], r["first"]["id"], r["digest"]) for r in part]
-        rank = {name: i for i, name in enumerate(sorted(set(names), key=lambda x: (x[0], x[1] if not x[0] else 0, x[2])))}
-        starts, owner, place = [], [], []
-        for i, r in enumerate(part):
-            left = len(r["before"])
-            low = max(0, left - r["high"])
-            high = min(left - r["low"], len(texts[i]) - LENGTH)
-            some = np.arange(low, high + 1)
-            starts.append(some)
-            owner.append(np.full(len(some), i))
-            place.append((rank[names[i]] << 32) + r["place"] - left + some)
-        starts, owner, place = map(np.concatenate, (starts, owner, place))
-        if not len(starts):
-            return []
-        earlier, later = factors(texts, starts, owner, place)
+def common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(differ.argmax())
+
+
+def nearest(strings: list[bytes], ties: list[bytes], place: list[tuple], both: bool):
+    """For each string the two neighbours in sorted order that can share most with it.
+
+    Those are the previous and next string (``both``), else the previous and the next with a
+    smaller place, which a stack gives for all in one pass.
+    """
+    order = sorted(range(len(strings)), key=lambda i: (strings[i], ties[i], place[i]))
+    near: list[list[int]] = [[] for _ in strings]
+    stack: list[int] = []
+    for i in order:
+        if both:
+            if stack:
+                near[i].append(stack[-1])
+                near[stack[-1]].append(i)
+            stack = [i]
+            continue
+        while stack and place[stack[-1]] > place[i]:
+            near[stack.pop()].append(i)
+        if stack:
+            near[i].append(stack[-1])
+        stack.append(i)
+    return near
+
+
+def stretches(rows: list[dict], both: bool) -> list[tuple[int, int, int]]:
+    """The repeated stretch of each row of one key, as ``(number, start, stop)``.
+
+    What a row shares most to the right is found at its neighbours in suffix order, what it
+    shares most to the left at those in the order of the reversed bytes before the anchor.
+    Where one row shares both, all starts between are repeated and no others. Only where
+    two different rows are needed, the starts are sorted one by one.
+    """
+    before = [r["before"][::-1] for r in rows]
+    after = [r["after"] for r in rows]
+    place = [(r["number"], r["place"]) for r in rows]
+    right, left = nearest(after, before, place, both), nearest(before, after, place, both)
+    out, reach, open_rows = [], [], []
+    for i, r in enumerate(rows):
+        shared = [(common(before[i], before[k]), common(after[i], after[k])) for k in {*right[i], *left[i]}]
+        most = (max((s[0] for s in shared), default=0), max((s[1] for s in shared), default=0))
+        low, high = max(r["low"], LENGTH - most[1]), min(r["high"], most[0])
+        reach.append((low, high))
+        if low > high:
+            continue
+        if most in shared:
+            out.append((r["number"], r["place"] - high, r["place"] - low + LENGTH))
+        else:
+            open_rows.append(i)
+    if open_rows:
+        if not both:  # a row may also be the earlier copy of others: all its starts take part
+            reach = [(max(r["low"], LENGTH - len(a)), min(r["high"], len(b)))
+                     for r, a, b in zip(rows, after, before)]
+        spans = [np.arange(low, high + 1) for low, high in reach]
+        owner = np.repeat(np.arange(len(rows)), [len(s) for s in spans])
+        back = np.concatenate(spans)
+        sizes = np.array([len(r["before"]) for r in rows])
+        ranks = {p: k for k, p in enumerate(sorted({p[0] for p in place}))}
+        absolute = np.array([(ranks[p[0]] << 32) + p[1] for p in place])[owner] - back
+        texts = [r["before"] + r["after"] for r in rows]
+        earlier, later = factors(texts, sizes[owner] - back, owner, absolute)
         hit = earlier | later if both else earlier
-        out = []
-        for i in np.unique(owner[hit]).tolist():
-            mine = (place[hit & (owner == i)] & 0xFFFFFFFF)
-            out.append((part[i]["digest"], int(mine.min()), int(mine.max()) + LENGTH))
-        return out
+        for i in open_rows:
+            if len(mine := back[hit & (owner == i)]):
+                at = rows[i]["place"]
+                out.append((rows[i]["number"], at - int(mine.max()), at - int(mine.min()) + LENGTH))
+    return out
+
+
+def _sort_parts(rows: DataFrame, both: bool) -> DataFrame:
+    """The repeated stretch of each row, from the rows of its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        done: list[tuple] = []
 
-        def take() -> pa.RecordBatch:
+        def take(done: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*done)) or [()] * 3
-            done.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.int64())], ["digest", "start", "stop"],
+                [pa.array(c, pa.int64()) for c in columns], ["number", "start", "stop"]
             )
 
-        for batch in batches:
+        for batch in pieces(batches):
+            done: list[tuple] = []
             for row in batch.to_pylist():
-                if len(held) >= TOGETHER and (row["key"], row["low"]) != (held[-1]["key"], held[-1]["low"]):
-                    done.extend(solve(held))
+                if held and (row["key"], row["low"]) != (held[-1]["key"], held[-1]["low"]):
+                    done.extend(stretches(held, both))
                     held = []
                 held.append(row)
-            yield take()
+            yield take(done)
         if held:
-            done.extend(solve(held))
-        yield take()
+            yield take(stretches(held, both))
 
     width = shuffle_width(rows.sparkSession)
     dealt = rows.drop("members").repartition(width, "key").sortWithinPartitions("key", "low")
-    return dealt.mapInArrow(run, "digest binary, start bigint, stop bigint")
+    return dealt.mapInArrow(run, "number bigint, start bigint, stop bigint")
 
 
 def _halves(rows: DataFrame) -> DataFrame:
@@ -227,8 +277,8 @@ def _halves(rows: DataFrame) -> DataFrame:
         F.col("low").alias("low"), middle.alias("high"), (F.length("after") >= need).alias("there"),
     )
     return rows.select(
-        F.explode(F.array(left, right)).alias("h"), "first", "digest", "place", "before", "after"
-    ).where("h.there").select("h.key", "h.low", "h.high", "first", "digest", "place", "before", "after")
+        F.explode(F.array(left, right)).alias("h"), "number", "place", "before", "after"
+    ).where("h.there").select("h.key", "h.low", "h.high", "number", "place", "before", "after")
 
 
 def _single_starts(rows: DataFrame, both: bool) -> DataFrame:
@@ -236,13 +286,13 @@ def _single_starts(rows: DataFrame, both: bool) -> DataFrame:
     begin = F.col("place") - F.col("low")
     text = F.concat(F.substring("before", F.length("before") - F.col("low") + 1, F.col("low")), "after")
     rows = rows.where(F.length(text) >= LENGTH).select(
-        "digest", begin.alias("start"), F.struct("first", "digest", begin.alias("start")).alias("at"),
+        "number", begin.cast("bigint").alias("start"), F.struct("number", begin.alias("start")).alias("at"),
         F.sha2(F.substring(text, F.lit(1), F.lit(LENGTH)), 256).alias("name"),
     )
     ends = rows.groupBy("name").agg(F.min("at").alias("least"), F.max("at").alias("most"))
     hit = rows.join(ends.where("least != most"), "name")
     hit = hit if both else hit.where("at != least")
-    return hit.select("digest", "start", (F.col("start") + LENGTH).alias("stop"))
+    return hit.select("number", "start", (F.col("start") + LENGTH).alias("stop"))
 
 
 def _stretches(touched: DataFrame, both: bool, together: int) -> DataFrame:
@@ -262,11 +312,11 @@ def _stretches(touched: DataFrame, both: bool, together: int) -> DataFrame:
         rows = cut(split.join(sizes.where("members > 1"), ["key", "low"]), "surroundings")
 
 
-def _removal(touched: DataFrame, stretches: DataFrame, both: bool) -> DataFrame:
+def _removal(touched: DataFrame, found: DataFrame, both: bool) -> DataFrame:
     """Per text the spans to remove and the hash of what stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for row in batch.to_pylist():
                 data = row["text"].encode()
@@ -287,20 +337,20 @@ def _removal(touched: DataFrame, stretches: DataFrame, both: bool) -> DataFrame:
                     kept.update(data[at:start])
                     at = stop
                 spans = [{"start": a, "stop": b} for a, b in merged]
-                rows.append((row["digest"], spans, kept.hexdigest()))
+                rows.append((row["number"], spans, kept.hexdigest()))
             columns = list(zip(*rows)) or [()] * 3
             pair = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pair),
-                 pa.array(columns[2], pa.string())], ["digest", "spans", "kept"],
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pair),
+                 pa.array(columns[2], pa.string())], ["number", "spans", "kept"],
             )
 
-    listed = stretches.groupBy("digest").agg(
+    listed = found.groupBy("number").agg(
         F.collect_list(F.struct("start", "stop")).alias("stretches")
     )
-    joined = touched.select("digest", "text", "found").join(listed, "digest", "left")
+    joined = touched.select("number", "text", "found").join(listed, "number", "left")
     return joined.mapInArrow(
-        run, "digest binary, spans array<struct<start:bigint,stop:bigint>>, kept string"
+        run, "number bigint, spans array<struct<start:bigint,stop:bigint>>, kept string"
     )
 
 
@@ -321,20 +371,22 @@ def repeated_spans(
         raise ValueError("keep is 'first' or 'none'")
     both = keep == "none"
     marks = cut(_marks(docs, id_col, text_col), "marks")
-    texts = cut(marks.groupBy("digest").agg(
+    texts = marks.groupBy("digest").agg(
         F.min("who").alias("first"), F.count(F.lit(1)).alias("copies"),
-        *[F.any_value(c).alias(c) for c in ("n_bytes", "places", "anchor", "around")],
-    ), "texts")
-    found = _repeated(texts)
+        *[F.any_value(c).alias(c) for c in ("places", "anchor", "around")],
+    )
+    if not both:  # numbers then have to follow the identifiers
+        width = shuffle_width(docs.sparkSession)
+        texts = texts.repartitionByRange(width, "first").sortWithinPartitions("first")
+    texts = cut(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
+    found = _repeated(texts).join(texts.select("number", "digest"), "number")
     whole = docs.select(text_of(text_col).alias("text")).where(F.octet_length("text") >= LENGTH)
     whole = whole.select(F.unhex(F.sha2("text", 256)).alias("digest"), "text").groupBy("digest").agg(
         F.any_value("text").alias("text")
     )
-    touched = cut(
-        whole.join(found, "digest").join(texts.select("digest", "first"), "digest"), "touched"
-    )
+    touched = cut(whole.join(found, "digest").select("number", "text", "found"), "touched")
     removal = _removal(touched, _stretches(touched, both, together), both)
-    known = texts.select("digest", "first", "copies").join(removal, "digest", "left")
+    known = texts.select("number", "digest", "first", "copies").join(removal, "number", "left").drop("number")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     gone = gone if both else gone & (F.col("who") != F.col("first"))
     everything = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("stop")))
