@@ -36,6 +36,7 @@ ANCHOR = 200
 TOGETHER = 1_500
 
 _SIDE = LENGTH - ANCHOR
+_SUFFIXES = 20_000
 _PLACE = (1 << 28) - 1
 _HASH = SliceHash(0xD1342543DE82EF95)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -117,17 +118,20 @@ def _repeated(texts: DataFrame) -> DataFrame:
 
 def _surroundings(touched: DataFrame) -> DataFrame:
     """The bytes around each anchor whose surroundings differ, one row per different ones."""
-    rows = touched.select(
-        "number", F.encode("text", "UTF-8").alias("data"),
-        F.explode(F.filter("found", lambda f: f["first"] & (f["kinds"] > 1))).alias("f"),
+    def describe(f: Column) -> Column:
+        low = F.greatest(f["place"] - _SIDE, F.lit(0))
+        return F.struct(
+            f["anchor"].alias("key"), f["place"].alias("place"), f["kinds"].alias("members"),
+            F.substring("data", low + 1, f["place"] - low).alias("before"),
+            F.substring("data", f["place"] + 1, F.lit(LENGTH)).alias("after"),
+        )
+
+    rows = touched.select("number", "found", F.encode("text", "UTF-8").alias("data")).select(
+        "number",
+        F.explode(F.transform(F.filter("found", lambda f: f["first"] & (f["kinds"] > 1)), describe)).alias("f"),
     )
-    place = F.col("f.place")
-    low = F.greatest(place - _SIDE, F.lit(0))
     return rows.select(
-        F.col("f.anchor").alias("key"), F.lit(0).alias("low"), F.lit(_SIDE).alias("high"),
-        "number", F.col("f.place").alias("place"), F.col("f.kinds").alias("members"),
-        F.substring("data", low + 1, place - low).alias("before"),
-        F.substring("data", place + 1, F.lit(LENGTH)).alias("after"),
+        "number", "f.*", F.lit(0).alias("low"), F.lit(_SIDE).alias("high")
     )
 
 
@@ -141,10 +145,10 @@ def factors(texts: list[bytes], starts: np.ndarray, owner: np.ndarray, place: np
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     at = (np.cumsum(sizes) - sizes)[owner] + starts
     windows = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at]
-    names = np.ascontiguousarray(windows).view(f"S{LENGTH}").ravel()
-    order = np.argsort(place, kind="stable")
-    order = order[np.argsort(names[order], kind="stable")]
-    same = names[order[1:]] == names[order[:-1]]
+    names = windows.view(f"S{LENGTH}").ravel()
+    order = np.lexsort((place, names))
+    names = names[order]
+    same = names[1:] == names[:-1]
     # the same suffix may stand there twice; a class of one place only is no repeat
     group = np.concatenate(([0], np.cumsum(~same)))
     first = np.concatenate(([True], ~same))
@@ -224,8 +228,15 @@ def stretches(rows: list[dict], both: bool) -> list[tuple[int, int, int]]:
         ranks = {p: k for k, p in enumerate(sorted({p[0] for p in place}))}
         absolute = np.array([(ranks[p[0]] << 32) + p[1] for p in place])[owner] - back
         texts = [r["before"] + r["after"] for r in rows]
-        earlier, later = factors(texts, sizes[owner] - back, owner, absolute)
-        hit = earlier | later if both else earlier
+        hit = np.zeros(len(back), bool)
+        # equal suffixes lie equally far before the anchor, so a few distances go at a time
+        step = max(1, _SUFFIXES // len(rows))
+        for low in range(0, _SIDE + 1, step):
+            some = np.flatnonzero((back >= low) & (back < low + step))
+            if len(some) > 1:
+                mine = owner[some]
+                earlier, later = factors(texts, sizes[mine] - back[some], mine, absolute[some])
+                hit[some] = earlier | later if both else earlier
         for i in open_rows:
             if len(mine := back[hit & (owner == i)]):
                 at = rows[i]["place"]
@@ -316,7 +327,7 @@ def _removal(touched: DataFrame, found: DataFrame, both: bool) -> DataFrame:
     """Per text the spans to remove and the hash of what stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, 50):
             rows = []
             for row in batch.to_pylist():
                 data = row["text"].encode()
