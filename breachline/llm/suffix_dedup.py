@@ -33,7 +33,7 @@ from breachline.settings import cut, shuffle_width
 LENGTH = 400
 ANCHOR = 200
 #: Different surroundings of one anchor that a task sorts at once.
-TOGETHER = 1_500
+TOGETHER = 20_000
 
 _SIDE = LENGTH - ANCHOR
 _SUFFIXES = 20_000
@@ -73,26 +73,25 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``who, digest, n_bytes`` and the anchors of every row."""
+    """``who, digest`` and the anchors of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for batch in pieces(batches):
-            digests, sizes, found = [], [], []
+            digests, found = [], []
             for data in utf8(batch, 1):
                 digests.append(sha256(data).digest())
-                sizes.append(len(data))
                 found.append(anchors(data))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                [batch.column(0), pa.array(digests, pa.binary()),
                  *[pa.array([f[i] for f in found], kind) for i, kind in enumerate(lists)]],
-                ["who", "digest", "n_bytes", "places", "anchor", "around"],
+                ["who", "digest", "places", "anchor", "around"],
             )
 
     source = docs.select(ordered(id_col).alias("who"), text_of(text_col))
     kind = source.schema["who"].dataType.simpleString()
     return source.mapInArrow(
-        run, f"who {kind}, digest binary, n_bytes bigint, places array<int>, "
+        run, f"who {kind}, digest binary, places array<int>, "
         "anchor array<bigint>, around array<bigint>",
     )
 
@@ -381,8 +380,7 @@ def repeated_spans(
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     both = keep == "none"
-    marks = cut(_marks(docs, id_col, text_col), "marks")
-    texts = marks.groupBy("digest").agg(
+    texts = _marks(docs, id_col, text_col).groupBy("digest").agg(
         F.min("who").alias("first"), F.count(F.lit(1)).alias("copies"),
         *[F.any_value(c).alias(c) for c in ("places", "anchor", "around")],
     )
@@ -391,10 +389,11 @@ def repeated_spans(
         texts = texts.repartitionByRange(width, "first").sortWithinPartitions("first")
     texts = cut(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
     found = _repeated(texts).join(texts.select("number", "digest"), "number")
-    whole = docs.select(text_of(text_col).alias("text")).where(F.octet_length("text") >= LENGTH)
-    whole = whole.select(F.unhex(F.sha2("text", 256)).alias("digest"), "text").groupBy("digest").agg(
-        F.any_value("text").alias("text")
+    named = docs.select(ordered(id_col).alias("who"), text_of(text_col).alias("text")).select(
+        "who", "text", F.octet_length("text").cast("bigint").alias("n_bytes"),
+        F.unhex(F.sha2("text", 256)).alias("digest"),
     )
+    whole = named.where(F.col("n_bytes") >= LENGTH).groupBy("digest").agg(F.any_value("text").alias("text"))
     touched = cut(whole.join(found, "digest").select("number", "text", "found"), "touched")
     removal = _removal(touched, _stretches(touched, both, together), both)
     known = texts.select("number", "digest", "first", "copies").join(removal, "number", "left").drop("number")
@@ -406,7 +405,7 @@ def repeated_spans(
     kept = F.when(gone, F.sha2(F.lit(""), 256)).otherwise(
         F.coalesce("kept", F.lower(F.hex("digest")))
     )
-    return marks.select("who", "digest", "n_bytes").join(known, "digest").select(
+    return named.select("who", "digest", "n_bytes").join(known, "digest").select(
         F.col("who.id").alias(id_col), "n_bytes", spans.alias("spans"), kept.alias("kept_sha256")
     ).select(
         F.col(f"`{id_col}`"), "n_bytes", "spans",
