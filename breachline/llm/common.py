@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -14,8 +15,6 @@ from breachline.settings import cut
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, return.
 BLANK = r"[\x20\x09-\x0D]+"
 
-LETTER = r"\p{L}"
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -40,6 +39,19 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return cut(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``cut``, then let go of the shuffle files behind the table that was written.
+
+    Spark deletes them once the driver has collected the plans that made them, which a
+    driver with little to do may put off until the disks are full.
+    """
+    spark, out = df.sparkSession, cut(df, name)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
+
+
 def ordered(id_col: str, *ties: str) -> Column:
     """An identifier as an orderable struct: nulls last, ties by the further columns."""
     key = F.col(f"`{id_col}`")

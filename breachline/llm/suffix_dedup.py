@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import ordered, pieces, text_of, utf8
+from breachline.llm.common import ordered, pieces, settled, text_of, utf8
 from breachline.llm.tokens import SliceHash
-from breachline.settings import cut, shuffle_width
+from breachline.settings import shuffle_width
 
 LENGTH = 400
 ANCHOR = 200
@@ -307,7 +307,7 @@ def _single_starts(rows: DataFrame, both: bool) -> DataFrame:
 
 def _stretches(touched: DataFrame, both: bool, together: int) -> DataFrame:
     rows = _surroundings(touched)
-    rows, out = cut(rows, "surroundings"), None
+    rows, out = settled(rows, "surroundings"), None
     while True:
         small = F.col("members") <= together
         found = _sort_parts(rows.where(small), both)
@@ -315,11 +315,11 @@ def _stretches(touched: DataFrame, both: bool, together: int) -> DataFrame:
         rows = rows.where(~small)
         if rows.isEmpty():
             return out
-        split = cut(_halves(rows), "halves")
+        split = settled(_halves(rows), "halves")
         out = out.unionByName(_single_starts(split.where("low = high"), both))
         split = split.where("low < high")
         sizes = split.groupBy("key", "low").agg(F.count(F.lit(1)).alias("members"))
-        rows = cut(split.join(sizes.where("members > 1"), ["key", "low"]), "surroundings")
+        rows = settled(split.join(sizes.where("members > 1"), ["key", "low"]), "surroundings")
 
 
 def _removal(touched: DataFrame, found: DataFrame, both: bool) -> DataFrame:
@@ -387,14 +387,14 @@ def repeated_spans(
     if not both:  # numbers then have to follow the identifiers
         width = shuffle_width(docs.sparkSession)
         texts = texts.repartitionByRange(width, "first").sortWithinPartitions("first")
-    texts = cut(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
+    texts = settled(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
     found = _repeated(texts).join(texts.select("number", "digest"), "number")
     named = docs.select(ordered(id_col).alias("who"), text_of(text_col).alias("text")).select(
         "who", "text", F.octet_length("text").cast("bigint").alias("n_bytes"),
         F.unhex(F.sha2("text", 256)).alias("digest"),
     )
     whole = named.where(F.col("n_bytes") >= LENGTH).groupBy("digest").agg(F.any_value("text").alias("text"))
-    touched = cut(whole.join(found, "digest").select("number", "text", "found"), "touched")
+    touched = settled(whole.join(found, "digest").select("number", "text", "found"), "touched")
     removal = _removal(touched, _stretches(touched, both, together), both)
     known = texts.select("number", "digest", "first", "copies").join(removal, "number", "left").drop("number")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
