@@ -6,7 +6,9 @@ import gc
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,21 @@ def utf8(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def shingle_hashes(text: bytes, words: int = 4) -> list[int]:
+    """XXH64 (seed 42) of every shingle of the text, repeats included."""
+    parts = text.lower().split()
+    if len(parts) <= words:
+        return [xxhash.xxh64_intdigest(b" ".join(parts), 42)] if parts else []
+    joined = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    digest = xxhash.xxh64_intdigest
+    return [
+        digest(joined[a:b], 42)
+        for a, b in zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist())
+    ]
+
+
 #: Rows that a Python task unpacks at once, and characters it works on at once.
 ROWS_AT_ONCE = 500
 CHARS_AT_ONCE = 1 << 19

@@ -18,17 +18,20 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import free_name, numbered, ordered, pieces, utf8
+from breachline.llm.common import free_name, numbered, ordered, pieces, shingle_hashes, utf8
 from breachline.llm.components import components
+from breachline.llm.minhash import near_copies
 from breachline.settings import cut
 
 BITS = 64
 DISTANCE = 4
 WORDS = 4
+#: Near copies that the pipeline drops: Jaccard similarity of runs of so many words.
+COPY_WORDS = 5
+COPY_SIMILARITY = 0.8
 #: Blocks up to this many fingerprints are compared as they are; larger ones are split further.
 COMPARED = 512
 
@@ -36,21 +39,6 @@ _TEXTS = 256
 _SHINGLES = 100_000
 
 
-def shingle_hashes(text: bytes, words: int = WORDS) -> list[int]:
-    """XXH64 (seed 42) of every shingle of the text, repeats included."""
-    parts = text.lower().split()
-    if len(parts) <= words:
-        return [xxhash.xxh64_intdigest(b" ".join(parts), 42)] if parts else []
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    return [
-        digest(joined[a:b], 42)
-        for a, b in zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist())
-    ]
-
-
 #: For every byte value its eight bits, lowest first.
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 
@@ -214,14 +202,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS,
+    similarity: float = COPY_SIMILARITY,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest identifier."""
+    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest
+    identifier. Near copies share at least ``similarity`` of their runs of ``words`` words
+    (Jaccard, on the whole texts), or are connected by texts that do."""
     row = free_name(docs, "row_number")
     stored = numbered(docs, row)
     rank = F.struct(ordered(id_col), F.col(row).alias("row"))
     ranked = stored.select(rank.alias("rank"), F.col(f"`{text_col}`").alias("text"))
-    gone = near_duplicates(ranked, "rank", "text").where("rank != component_id").select(
-        F.col("rank.row").alias(row)
-    )
+    copies = near_copies(ranked, words, similarity).where("who != least")
+    gone = cut(copies.select(F.col("row").alias(row)), "copies")
     return stored.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
