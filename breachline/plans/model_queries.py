@@ -23,9 +23,8 @@ FEATURES = [
     "quantity", "price", "discount", "tax", "latitude", "longitude", "sla_days",
     "penalty_amount_usd",
 ]
-# Smaller than the production settings, so that every query stays a short run.
-FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 20}
-BOOSTED = {"maxIter": 8, "maxDepth": 4}
+# The features of the final model, for all tree ensembles; their settings are the defaults.
+FINAL = [f for f in X.feature_names(COLS) if f not in ("presion_sla", "dia_semana_cos")]
 
 
 def judged_splits(spark, sf_dir):
@@ -39,10 +38,19 @@ def part(df, name):
     return df.where(F.col("split") == name)
 
 
+def final_splits(spark, sf_dir):
+    """The judged requests with the features of the final model."""
+    judged = judged_splits(spark, sf_dir).select(
+        "request_key", "created_ts", "target", "penalty_charged", "split"
+    )
+    made = gold(spark, sf_dir)[0].select("request_key", *FINAL)
+    return cut(judged.join(made, "request_key"), "final")
+
+
 def _forest(spark, sf_dir):
-    df = judged_splits(spark, sf_dir)
+    df = final_splits(spark, sf_dir)
     train = E.with_class_weight(part(df, "train"))
-    return df, M.fit_random_forest(train, FEATURES, weight="weight", **FOREST)
+    return df, M.fit_random_forest(train, FINAL, weight="weight")
 
 
 @query()
@@ -75,15 +83,15 @@ def logistic_metrics(spark, sf_dir):
 @query()
 def forest_metrics(spark, sf_dir):
     df, model = _forest(spark, sf_dir)
-    pred = M.predictions_table({"RF + class_weight": model}, part(df, "val"), FEATURES, "request_key")
+    pred = M.predictions_table({"RF + class_weight": model}, part(df, "val"), FINAL, "request_key")
     return V.model_metrics(pred)
 
 
 @query()
 def boosted_metrics(spark, sf_dir):
-    df = judged_splits(spark, sf_dir)
-    model = M.fit_boosted_trees(part(df, "train"), FEATURES, **BOOSTED)
-    pred = M.predictions_table({"GBT": model}, part(df, "val"), FEATURES, "request_key")
+    df = final_splits(spark, sf_dir)
+    model = M.fit_boosted_trees(part(df, "train"), FINAL)
+    pred = M.predictions_table({"GBT": model}, part(df, "val"), FINAL, "request_key")
     return V.model_metrics(pred)
 
 
@@ -92,10 +100,9 @@ def gold_forest_metrics(spark, sf_dir):
     """The 28 features of the final model, from the fitted gold table to test metrics."""
     df, _ = gold(spark, sf_dir)
     df = cut(df, "gold")
-    features = [f for f in X.feature_names(COLS) if f not in ("presion_sla", "dia_semana_cos")]
     train = E.with_class_weight(part(df, "train"))
-    model = M.fit_random_forest(train, features, weight="weight", **FOREST)
-    pred = M.predictions_table({"Modelo Final (Test)": model}, part(df, "test"), features, "request_key")
+    model = M.fit_random_forest(train, FINAL, weight="weight")
+    pred = M.predictions_table({"Modelo Final (Test)": model}, part(df, "test"), FINAL, "request_key")
     return V.model_metrics(pred)
 
 
@@ -117,16 +124,14 @@ def balanced_by_smote(spark, sf_dir):
 
 @query()
 def random_search(spark, sf_dir):
-    df = part(judged_splits(spark, sf_dir), "train")
-    grid = {"numTrees": [5], "maxDepth": [3, 6], "minInstancesPerNode": [5, 20]}
+    df = part(final_splits(spark, sf_dir), "train")
     results, _ = M.temporal_random_search(
         df,
-        FEATURES,
+        FINAL,
         [F.col("created_ts"), F.col("request_key")],
         M.fit_random_forest,
-        grid,
-        draws=2,
-        folds=3,
+        M.FOREST_GRID,
+        draws=M.SEARCH_DRAWS["forest"],
     )
     return results
 
@@ -163,14 +168,14 @@ def linear_contribution_importance(spark, sf_dir):
 @query()
 def riskiest_request(spark, sf_dir):
     df, model = _forest(spark, sf_dir)
-    return I.riskiest_case(M.predictions_table({"RF": model}, part(df, "val"), FEATURES, "request_key"))
+    return I.riskiest_case(M.predictions_table({"RF": model}, part(df, "val"), FINAL, "request_key"))
 
 
 @query()
 def stored_model_results(spark, sf_dir):
     """All tables of the model page, stored and read back: rows of each."""
     df, model = _forest(spark, sf_dir)
-    tables = pipelines.model_results({"RF": model}, "RF", df, FEATURES, "request_key")
+    tables = pipelines.model_results({"RF": model}, "RF", df, FINAL, "request_key")
     prefix = work_path(spark, "results")
     pipelines.store_results(tables, prefix)
     counts = [
@@ -188,7 +193,7 @@ def scored_requests(spark, sf_dir):
     features = X.feature_names(COLS)
     train = E.with_class_weight(part(df, "train"))
     path = work_path(spark, "model")
-    model = M.fit_random_forest(train, features, weight="weight", **FOREST)
+    model = M.fit_random_forest(train, features, weight="weight")
     M.save_model(model, path, {"threshold": 0.5, "features": features})
     stored, metadata = M.load_model(spark, path)
     base = cut(silver(spark, sf_dir), "silver")
