@@ -142,8 +142,9 @@ RULES = [
     ("public_domain", "Unlicense"),
 ]
 
-#: Every known sentence holds one of these, so other texts need no cutting into sentences.
-ANCHORS = ["licen", "gnu g", "permi", "redistribut", "warrant", "public domain"]
+#: Every known sentence holds one of these in one word, so that no line break can part it;
+#: other texts need no cutting into sentences.
+ANCHORS = ["licen", "permi", "redistribut", "warrant", "unencumbered"]
 
 #: A sentence may be broken over lines, or a line may be a sentence: both cuts are tried.
 CUTS = [r"[.!?:]+[\t-\r ]+|[\r\n]+", r"[.!?:]+[\t-\r ]+|\n[\t-\r ]*\n"]
