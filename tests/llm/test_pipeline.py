@@ -78,7 +78,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered_once_each():
     numbers = sorted(int(n[2:].split("_")[0]) for n in catalog.PLANS)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(catalog.PLANS) | {"pipeline"} <= set(entry.queries())
 
 
