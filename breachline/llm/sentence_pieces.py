@@ -3,7 +3,8 @@
 A text begins as single characters. The agenda holds every adjacent pair that is a piece of
 the vocabulary; the pair with the best score, leftmost among equals, becomes one symbol and
 its two new neighbours enter the agenda, until none is left. What is no piece goes out as
-bytes or as the unknown id.
+bytes or as the unknown id. A long stretch has its own heap; short ones go in step, and
+every round takes the head of each of their agendas with array operations.
 
 A merge never crosses a place whose two characters stand side by side in no piece. Texts are
 cut at such places, by the vocabulary and not by a rule for words, and a stretch that a
@@ -29,6 +30,9 @@ from breachline.llm.tokens import SliceHash
 #: Stretches the cache may hold; a full cache starts anew.
 CACHE_STRETCHES = 500_000
 
+#: Characters of a stretch that goes in step with others; a longer one has a heap.
+IN_STEP = 48
+
 SPACE = "▁"
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _LENGTH_MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -81,11 +85,30 @@ class Vocabulary:
         self.ranks = {text: place[s] for text, s in self.scores.items()}
         fixed = sorted(self.fixed, key=len, reverse=True)
         self.fixed_pattern = re.compile("|".join(map(re.escape, fixed))) if fixed else None
-        self._joints()
+        letters = sorted({c for text in self.ids if len(text) > 1 for c in text})
+        self._joints(letters)
+        self._pairs(letters)
+
+    def _pairs(self, letters: list[str]) -> None:
+        """Every two symbols that make a piece, as sorted numbers with rank and piece."""
+        size = len(self.raw)
+        self.loose = [c for c in letters if c not in self.ids]
+        symbols = self.ids | {c: size + i for i, c in enumerate(self.loose)}
+        self.base = size + len(self.loose)
+        self.symbol = -1 - np.arange(0x110000)  # a character of no piece stands for itself
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = i
+        found = [
+            (symbols[text[:k]] * self.base + symbols[text[k:]], self.ranks[text], i)
+            for text, i in self.ids.items() for k in range(1, len(text))
+            if text[:k] in symbols and text[k:] in symbols
+        ]
+        table = np.array(sorted(found) or [(-1, 0, 0)], np.int64)
+        self.pair_key, self.pair_rank, self.pair_piece = (np.ascontiguousarray(c) for c in table.T)
 
-    def _joints(self) -> None:
+    def _joints(self, letters: list[str]) -> None:
         """Which two characters may be side by side in a piece."""
-        letters = sorted({c for text in self.ids if len(text) > 1 for c in text})
         self.letter = np.zeros(0x110000, np.int32)
         for i, c in enumerate(letters):
             self.letter[ord(c)] = i + 1
@@ -155,19 +178,77 @@ class Vocabulary:
             else:
                 yield symbol
 
+    def _outside(self, symbol: str) -> list[int]:
+        """Ids of a symbol that is no piece."""
+        if not self.byte_fallback:
+            return [self.unknown]
+        return [self.bytes_ids[b] for b in symbol.encode()]
+
     def stretch(self, text: str) -> list[int]:
         """Ids of a normalised stretch."""
         out: list[int] = []
         for symbol in self._merged(text):
             known = self.ids.get(symbol)
-            if known is not None:
-                out.append(known)
-            elif self.byte_fallback:
-                out.extend(self.bytes_ids[b] for b in symbol.encode())
-            else:
-                out.append(self.unknown)
+            out.extend(self._outside(symbol) if known is None else [known])
         return out
 
+    def stretches(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of many normalised stretches."""
+        out: list = [None] * len(texts)
+        short = [] if self.unused or self.fixed else [i for i, t in enumerate(texts) if len(t) <= IN_STEP]
+        for i, ids in zip(short, self._in_step([texts[i] for i in short])):
+            out[i] = ids
+        return [np.array(self.stretch(t), np.uint32) if o is None else o for t, o in zip(texts, out)]
+
+    def _in_step(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        symbol = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
+        done, none = [], np.iinfo(np.int64).max
+        while len(symbol):
+            key = symbol[:-1] * self.base + symbol[1:]
+            at = np.searchsorted(self.pair_key, key)
+            at[at == len(self.pair_key)] = 0
+            hit = (self.pair_key[at] == key) & (owner[1:] == owner[:-1]) & (symbol[:-1] >= 0) & (symbol[1:] >= 0)
+            order = np.full(len(symbol), none)
+            places = np.flatnonzero(hit)
+            order[places] = self.pair_rank[at[places]] * (1 << 32) + places
+            begins = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+            head = np.minimum.reduceat(order, begins)
+            over = np.repeat(head == none, np.diff(np.append(begins, len(symbol))))
+            done.append((owner[over], symbol[over]))
+            left = head[head != none] & ((1 << 32) - 1)
+            symbol[left] = self.pair_piece[at[left]]
+            stay = ~over
+            stay[left + 1] = False
+            symbol, owner = symbol[stay], owner[stay]
+        owner, symbol = (np.concatenate(c) for c in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        return self._named(owner[order], symbol[order], len(texts))
+
+    def _named(self, owner: np.ndarray, symbol: np.ndarray, n: int) -> list[np.ndarray]:
+        """Ids of merged symbols: a piece is its own id, anything else goes out as it has to."""
+        strange = np.unique(symbol[(symbol < 0) | (symbol >= len(self.raw))])
+        texts = [chr(-1 - s) if s < 0 else self.loose[s - len(self.raw)] for s in strange.tolist()]
+        pool = [self._outside(t) for t in texts]
+        flat = np.array([i for ids in pool for i in ids], np.int64)
+        sizes = np.fromiter(map(len, pool), np.int64, len(pool))
+        starts = np.cumsum(sizes) - sizes
+        odd = np.flatnonzero((symbol < 0) | (symbol >= len(self.raw)))
+        which = np.searchsorted(strange, symbol[odd])
+        size = np.ones(len(symbol), np.int64)
+        size[odd] = sizes[which]
+        ends = np.cumsum(size)
+        ids = np.repeat(symbol, size)
+        if len(odd):
+            spread = np.repeat(np.arange(len(odd)), size[odd])
+            inside = np.arange(len(spread)) - np.repeat(np.cumsum(size[odd]) - size[odd], size[odd])
+            ids[(ends - size)[odd][spread] + inside] = flat[starts[which][spread] + inside]
+        marks = np.concatenate(([0], ends))[np.searchsorted(owner, np.arange(1, n))]
+        return np.split(ids.astype(np.uint32), marks)
+
 
 class PieceCoder:
     """Ids of texts and texts of ids; exact, whatever the cache holds."""
@@ -187,12 +268,14 @@ class PieceCoder:
         begin[doc_starts] = True
         return np.flatnonzero(begin)
 
-    def _ids(self, joined: str, name: int, proof: int, start: int, stop: int) -> np.ndarray:
-        held = self.cache.get(name)
-        if held is None or held[0] != proof:
-            held = (proof, np.array(self.model.stretch(joined[start:stop]), np.uint32))
-            self.cache[name] = held
-        return held[1]
+    def _learn(self, joined: str, names: list, proofs: list, starts: list, stops: list) -> None:
+        new = [
+            i for i, (name, proof) in enumerate(zip(names, proofs))
+            if (held := self.cache.get(name)) is None or held[0] != proof
+        ]
+        done = self.model.stretches([joined[starts[i] : stops[i]] for i in new])
+        for i, ids in zip(new, done):
+            self.cache[names[i]] = (proofs[i], ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text between the begin and the end id."""
@@ -230,11 +313,9 @@ class PieceCoder:
         unique, first, which = np.unique(name, return_index=True, return_inverse=True)
         if not np.array_equal(proof[first][which], proof):  # two stretches with one name
             return [np.array(self.model.stretch(t), np.uint32) for t in normal]
-        known = [
-            self._ids(joined, *each) for each in zip(
-                unique.tolist(), proof[first].tolist(), starts[first].tolist(), stops[first].tolist()
-            )
-        ]
+        names = unique.tolist()
+        self._learn(joined, names, proof[first].tolist(), starts[first].tolist(), stops[first].tolist())
+        known = [self.cache[name][1] for name in names]
         size = np.fromiter(map(len, known), np.int64, len(known))
         pool, at = np.concatenate(known), np.cumsum(size) - size
         size, at = size[which], at[which]
@@ -297,15 +378,15 @@ def encode_pieces(
                 some = [texts[i] for i in part]
                 ids = own.encode(some)
                 decoded = own.decode(ids)
-                given = library.encode(some, add_bos=True, add_eos=True, num_threads=1)
+                given = library.encode(some, add_bos=True, add_eos=True, num_threads=1, out_type="numpy")
                 back = library.decode(given, num_threads=1)
                 agrees = [
-                    len(a) == len(b) and bool((a == np.array(b, np.uint32)).all()) and c == d
+                    len(a) == len(b) and bool((a == b).all()) and c == d
                     for a, b, c, d in zip(ids, given, decoded, back)
                 ]
                 for i, same in enumerate(agrees):
                     if not same:
-                        ids[i], decoded[i] = np.array(given[i], np.uint32), back[i]
+                        ids[i], decoded[i] = given[i].astype(np.uint32), back[i]
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(part[0], len(part)),
                      pa.array([len(a) for a in ids], pa.int64()),
