@@ -54,6 +54,23 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: At most so many keys are joined by a broadcast instead of a shuffle.
+HUBS = 10_000
+
+
+def join_hubs(rows: DataFrame, table: DataFrame, keys: list[str], size: Column, crowd: float) -> DataFrame:
+    """Inner join of ``table``, one row per key, in which no hot key fills a task.
+
+    ``size`` counts the rows of a key. Keys with more than ``crowd`` rows are hubs and are
+    joined by a broadcast: with ``crowd`` a ``HUBS``-th of all rows there are at most ``HUBS``.
+    """
+    columns = [*rows.columns, *[c for c in table.columns if c not in keys]]
+    hubs = table.where(size > crowd).withColumn("_hub", F.lit(True))
+    known = rows.join(F.broadcast(hubs), keys, "left")
+    others = known.where("_hub is null").select(rows.columns).join(table.where(size <= crowd), keys)
+    return known.where("_hub").select(columns).unionByName(others.select(columns))
+
+
 def ordered(id_col: str, *ties: str) -> Column:
     """An identifier as an orderable struct: nulls last, ties by the further columns."""
     key = F.col(f"`{id_col}`")

@@ -4,9 +4,8 @@ Every round regroups the links and is written once, so no links reach the driver
 lost executor re-reads the last round. The rounds needed grow with the logarithm of the
 longest chain of links.
 
-The smallest node of a large component is linked to all its nodes. Such hubs are joined by a
-broadcast of at most ``HUBS`` rows: a node counts as one if it has more than a ``HUBS``-th of
-all ends of links, so there cannot be more of them.
+The smallest node of a large component is linked to all its nodes. A node with more than a
+``HUBS``-th of all ends of links is a hub and joined by a broadcast.
 """
 
 from __future__ import annotations
@@ -14,10 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from breachline.llm.common import HUBS, join_hubs
 from breachline.settings import cut
 
-HUBS = 10_000
-
 
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.select(F.inline(F.array(
@@ -26,14 +24,6 @@ def _both_ways(links: DataFrame) -> DataFrame:
     )))
 
 
-def _with_least(rows: DataFrame, least: DataFrame, crowd: float) -> DataFrame:
-    """``rows`` with the ``m`` of their ``u``; a node with more than ``crowd`` rows is a hub."""
-    hubs = least.where(F.col("n") > crowd).select("u", "m")
-    known = rows.join(F.broadcast(hubs), "u", "left")
-    others = known.where("m is null").drop("m").join(least.select("u", "m"), "u")
-    return known.where("m is not null").unionByName(others)
-
-
 def _large_star(links: DataFrame, crowd: float) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node it knows."""
     near = _both_ways(links)
@@ -41,7 +31,7 @@ def _large_star(links: DataFrame, crowd: float) -> DataFrame:
         F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")
     )
     return (
-        _with_least(near.where("v > u"), least, crowd)
+        join_hubs(near.where("v > u"), least, ["u"], F.col("n"), crowd)
         .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
     )
 
@@ -50,7 +40,7 @@ def _small_star(links: DataFrame, crowd: float) -> DataFrame:
     """Link a node's smaller neighbours and itself to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = _with_least(down, least, crowd).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    moved = join_hubs(down, least, ["u"], F.col("n"), crowd).select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("u", "m")).where("a != b").distinct()
 
 

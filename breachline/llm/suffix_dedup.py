@@ -5,12 +5,14 @@ content. Of the 200-byte strings inside every 400-byte string one is the anchor
 hash, leftmost), so equal 400-byte strings have equal anchors at the same place. Anchors
 that occur once need no further look. For the others, all 400-byte starts around one anchor
 form a part of the suffix array: they are sorted by their first 400 bytes, ties by position.
-In that order the previous and the next smaller position of a suffix with at least 400 equal
-bytes are its neighbours, which gives the longest previous factor (an earlier copy) and its
-mirror image (a later copy), cut off at 400.
+In that order the previous and the next smaller position of a suffix are the earlier
+suffixes that share most with it, which gives the longest previous factor; the previous and
+the next greater position give its mirror image, a later copy. Both are cut off at 400.
 
 Equal texts are one text with a number of copies, and equal surroundings of an anchor are
-one entry with a number of places, both before anything is dealt out. An anchor that still
+one entry with a number of places, both before anything is dealt out (by 128 bits of a
+cryptographic hash and more). Only texts with a repeated anchor are looked at again: a bitmap
+of bounded size says which, so the others are not shuffled. An anchor that still
 has too many different surroundings for one task is divided: starts further to the left are
 dealt by the bytes before the anchor, the others by the bytes after it, and so on in halves
 down to a single start, where equal strings only need to be counted.
@@ -19,14 +21,14 @@ down to a single start, where equal strings only need to be counted.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import ordered, pieces, settled, text_of, utf8
+from breachline.llm.common import HUBS, join_hubs, ordered, pieces, settled, text_of, utf8
 from breachline.llm.tokens import SliceHash
 from breachline.settings import shuffle_width
 
@@ -35,6 +37,9 @@ ANCHOR = 200
 #: Different surroundings of one anchor that a task sorts at once.
 TOGETHER = 20_000
 
+#: Bits of the map of texts that are looked at again, at most: 16 MB.
+MAP_BITS = 1 << 27
+
 _SIDE = LENGTH - ANCHOR
 _SUFFIXES = 20_000
 _PLACE = (1 << 28) - 1
@@ -52,11 +57,11 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, hash and hash of the surroundings of each anchor of a text."""
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Place, hash and digest of the surroundings of each anchor of a text."""
     n = len(data)
     if n < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), []
     raw = np.frombuffer(data, np.uint8)
     mixed = (raw + np.uint64(1)) * _MIX
     mixed ^= mixed >> np.uint64(29)
@@ -66,17 +71,20 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys = hashes & ~np.uint64(_PLACE) | starts.astype(np.uint64)
     chosen = np.unique(_least_places(keys, _SIDE + 1)) & np.uint64(_PLACE)
     places = np.sort(chosen.astype(np.int64))
-    low, high = np.maximum(places - _SIDE, 0), np.minimum(places + LENGTH, n)
-    around = _HASH.slices(mixed, low, high)
-    around ^= ((places - low) * 1000 + high - places).astype(np.uint64) * _MIX
-    return places, hashes[places].view(np.int64), around.view(np.int64)
+    low = np.maximum(places - _SIDE, 0)
+    around = [
+        # the bytes before the anchor say where it lies, those behind it follow from the length
+        blake2b(data[a : p + LENGTH], digest_size=16, salt=(p - a).to_bytes(2, "big")).digest()
+        for a, p in zip(low.tolist(), places.tolist())
+    ]
+    return places, hashes[places].view(np.int64), around
 
 
 def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``who, digest`` and the anchors of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.binary())]
         for batch in pieces(batches):
             digests, found = [], []
             for data in utf8(batch, 1):
@@ -92,12 +100,15 @@ def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = source.schema["who"].dataType.simpleString()
     return source.mapInArrow(
         run, f"who {kind}, digest binary, places array<int>, "
-        "anchor array<bigint>, around array<bigint>",
+        "anchor array<bigint>, around array<binary>",
     )
 
 
-def _repeated(texts: DataFrame) -> DataFrame:
-    """Per text number the anchors that occur more than once, with what is known of them."""
+def _repeated(texts: DataFrame, crowd: float) -> DataFrame:
+    """Per text number the anchors that occur more than once, with what is known of them.
+
+    ``crowd`` is a ``HUBS``-th of all anchors: keys with more of them are joined as hubs.
+    """
     spread = texts.select("number", F.explode(
         F.arrays_zip("places", "anchor", "around")).alias("a")
     ).select("number", F.col("a.places").alias("place"), F.col("a.anchor").alias("anchor"),
@@ -108,9 +119,12 @@ def _repeated(texts: DataFrame) -> DataFrame:
     kinds = entries.groupBy("anchor").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     ).where("total > 1")
-    known = entries.join(kinds, "anchor").select("anchor", "around", "n", "kinds", "least")
+    known = join_hubs(entries, kinds, ["anchor"], F.col("kinds"), crowd).select(
+        "anchor", "around", "n", "kinds", "least"
+    )
     first = (F.col("number") == F.col("least.number")) & (F.col("place") == F.col("least.place"))
-    return spread.join(known, ["anchor", "around"]).groupBy("number").agg(F.collect_list(F.struct(
+    found = join_hubs(spread, known, ["anchor", "around"], F.col("n"), crowd)
+    return found.groupBy("number").agg(F.collect_list(F.struct(
         "place", "anchor", "kinds", (F.col("n") > 1).alias("many"), first.alias("first"),
     )).alias("found"))
 
@@ -148,14 +162,17 @@ def factors(texts: list[bytes], starts: np.ndarray, owner: np.ndarray, place: np
     order = np.lexsort((place, names))
     names = names[order]
     same = names[1:] == names[:-1]
-    # the same suffix may stand there twice; a class of one place only is no repeat
-    group = np.concatenate(([0], np.cumsum(~same)))
-    first = np.concatenate(([True], ~same))
-    last = np.concatenate((~same, [True]))
-    low, high = place[order[first]][group], place[order[last]][group]
+    # places rise within equal names, so the previous smaller place lies just before a run of
+    # one place (the same suffix may stand there twice), the next greater one just behind it
+    here = place[order]
+    step = np.concatenate(([True], (here[1:] != here[:-1]) | ~same, [True]))
+    run = np.cumsum(step[:-1]) - 1
+    edges = np.flatnonzero(step)
+    smaller, greater = edges[:-1][run] - 1, edges[1:][run]
+    group = np.concatenate(([-1], np.cumsum(np.concatenate(([0], ~same))), [-1]))
     earlier, later = np.zeros(len(place), bool), np.zeros(len(place), bool)
-    earlier[order] = place[order] > low
-    later[order] = place[order] < high
+    earlier[order] = group[smaller + 1] == group[1:-1]
+    later[order] = group[greater + 1] == group[1:-1]
     return earlier, later
 
 
@@ -169,26 +186,18 @@ def common(a: bytes, b: bytes) -> int:
 
 
 def nearest(strings: list[bytes], ties: list[bytes], place: list[tuple], both: bool):
-    """For each string the two neighbours in sorted order that can share most with it.
-
-    Those are the previous and next string (``both``), else the previous and the next with a
-    smaller place, which a stack gives for all in one pass.
-    """
+    """For each string the neighbours in sorted order that can share most with it: the previous
+    and the next with a smaller place (earlier copies), and with a greater one if ``both``."""
     order = sorted(range(len(strings)), key=lambda i: (strings[i], ties[i], place[i]))
     near: list[list[int]] = [[] for _ in strings]
-    stack: list[int] = []
-    for i in order:
-        if both:
+    for sign in (False, True) if both else (False,):
+        stack: list[int] = []
+        for i in order:
+            while stack and (place[stack[-1]] < place[i] if sign else place[stack[-1]] > place[i]):
+                near[stack.pop()].append(i)
             if stack:
                 near[i].append(stack[-1])
-                near[stack[-1]].append(i)
-            stack = [i]
-            continue
-        while stack and place[stack[-1]] > place[i]:
-            near[stack.pop()].append(i)
-        if stack:
-            near[i].append(stack[-1])
-        stack.append(i)
+            stack.append(i)
     return near
 
 
@@ -364,6 +373,35 @@ def _removal(touched: DataFrame, found: DataFrame, both: bool) -> DataFrame:
     )
 
 
+def _touched(named: DataFrame, found: DataFrame) -> DataFrame:
+    """``number, text, found`` of each text with a repeated anchor, from one of its rows.
+
+    A bitmap of the rows to take is broadcast first. It is exact as far as it goes: a row
+    that only shares its bit is left out by the join behind it.
+    """
+    wanted = found.select("digest", F.col("first").alias("who"))
+    bits = min(MAP_BITS, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
+
+    def spot(*columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(bits))
+
+    bitmap = (
+        wanted.select(spot("digest", "who").alias("spot"))
+        .select(F.bitmap_bucket_number("spot").alias("bucket"), F.bitmap_bit_position("spot").alias("bit"))
+        .repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    )
+    placed = named.withColumn("spot", spot("digest", "who")).withColumn("bucket", F.bitmap_bucket_number("spot"))
+    bit = F.bitmap_bit_position("spot")
+    byte = F.substring("bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    hit = F.getbit(value, (bit % 8).cast("int")) == 1
+    # at most MAP_BITS bits, 32768 to a row
+    taken = placed.join(F.broadcast(bitmap), "bucket").where(hit).select("digest", "who", "text")
+    return taken.join(found, "digest").where(F.col("who") == F.col("first")).groupBy("digest").agg(
+        *[F.any_value(c).alias(c) for c in ("number", "text", "found")]
+    ).select("number", "text", "found")
+
+
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "first",
     together: int = TOGETHER,
@@ -388,13 +426,13 @@ def repeated_spans(
         width = shuffle_width(docs.sparkSession)
         texts = texts.repartitionByRange(width, "first").sortWithinPartitions("first")
     texts = settled(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
-    found = _repeated(texts).join(texts.select("number", "digest"), "number")
+    crowd = (texts.agg(F.sum(F.size("anchor"))).first()[0] or 0) / HUBS
+    found = settled(_repeated(texts, crowd).join(texts.select("number", "digest", "first"), "number"), "found")
     named = docs.select(ordered(id_col).alias("who"), text_of(text_col).alias("text")).select(
         "who", "text", F.octet_length("text").cast("bigint").alias("n_bytes"),
         F.unhex(F.sha2("text", 256)).alias("digest"),
     )
-    whole = named.where(F.col("n_bytes") >= LENGTH).groupBy("digest").agg(F.any_value("text").alias("text"))
-    touched = settled(whole.join(found, "digest").select("number", "text", "found"), "touched")
+    touched = settled(_touched(named.where(F.col("n_bytes") >= LENGTH), found), "touched")
     removal = _removal(touched, _stretches(touched, both, together), both)
     known = texts.select("number", "digest", "first", "copies").join(removal, "number", "left").drop("number")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
