@@ -10,8 +10,8 @@ suffixes that share most with it, which gives the longest previous factor; the p
 the next greater position give its mirror image, a later copy. Both are cut off at 400.
 
 Equal texts are one text with a number of copies, and equal surroundings of an anchor are
-one entry with a number of places, both before anything is dealt out (by 128 bits of a
-cryptographic hash and more). Only texts with a repeated anchor are looked at again: a bitmap
+one entry with a number of places, both before anything is dealt out. Equal surroundings
+agree in the hash of the anchor and in 64 bits of a cryptographic hash. Only texts with a repeated anchor are looked at again: a bitmap
 of bounded size says which, so the others are not shuffled. An anchor that still
 has too many different surroundings for one task is divided: starts further to the left are
 dealt by the bytes before the anchor, the others by the bytes after it, and so on in halves
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import HUBS, join_hubs, ordered, pieces, settled, text_of, utf8
+from breachline.llm.common import ordered, pieces, settled, text_of, utf8
 from breachline.llm.tokens import SliceHash
 from breachline.settings import shuffle_width
 
@@ -57,11 +57,11 @@ def _least_places(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Place, hash and digest of the surroundings of each anchor of a text."""
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, hash and hash of the surroundings of each anchor of a text."""
     n = len(data)
     if n < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.int64), []
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     raw = np.frombuffer(data, np.uint8)
     mixed = (raw + np.uint64(1)) * _MIX
     mixed ^= mixed >> np.uint64(29)
@@ -72,19 +72,19 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     chosen = np.unique(_least_places(keys, _SIDE + 1)) & np.uint64(_PLACE)
     places = np.sort(chosen.astype(np.int64))
     low = np.maximum(places - _SIDE, 0)
-    around = [
-        # the bytes before the anchor say where it lies, those behind it follow from the length
-        blake2b(data[a : p + LENGTH], digest_size=16, salt=(p - a).to_bytes(2, "big")).digest()
+    around = b"".join(
+        # the salt says where in the bytes the anchor lies
+        blake2b(data[a : p + LENGTH], digest_size=8, salt=(p - a).to_bytes(2, "big")).digest()
         for a, p in zip(low.tolist(), places.tolist())
-    ]
-    return places, hashes[places].view(np.int64), around
+    )
+    return places, hashes[places].view(np.int64), np.frombuffer(around, np.int64)
 
 
 def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``who, digest`` and the anchors of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+        lists = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for batch in pieces(batches):
             digests, found = [], []
             for data in utf8(batch, 1):
@@ -100,15 +100,12 @@ def _marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = source.schema["who"].dataType.simpleString()
     return source.mapInArrow(
         run, f"who {kind}, digest binary, places array<int>, "
-        "anchor array<bigint>, around array<binary>",
+        "anchor array<bigint>, around array<bigint>",
     )
 
 
-def _repeated(texts: DataFrame, crowd: float) -> DataFrame:
-    """Per text number the anchors that occur more than once, with what is known of them.
-
-    ``crowd`` is a ``HUBS``-th of all anchors: keys with more of them are joined as hubs.
-    """
+def _repeated(texts: DataFrame) -> DataFrame:
+    """Per text number the anchors that occur more than once, with what is known of them."""
     spread = texts.select("number", F.explode(
         F.arrays_zip("places", "anchor", "around")).alias("a")
     ).select("number", F.col("a.places").alias("place"), F.col("a.anchor").alias("anchor"),
@@ -119,12 +116,9 @@ def _repeated(texts: DataFrame, crowd: float) -> DataFrame:
     kinds = entries.groupBy("anchor").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     ).where("total > 1")
-    known = join_hubs(entries, kinds, ["anchor"], F.col("kinds"), crowd).select(
-        "anchor", "around", "n", "kinds", "least"
-    )
+    known = entries.join(kinds, "anchor").select("anchor", "around", "n", "kinds", "least")
     first = (F.col("number") == F.col("least.number")) & (F.col("place") == F.col("least.place"))
-    found = join_hubs(spread, known, ["anchor", "around"], F.col("n"), crowd)
-    return found.groupBy("number").agg(F.collect_list(F.struct(
+    return spread.join(known, ["anchor", "around"]).groupBy("number").agg(F.collect_list(F.struct(
         "place", "anchor", "kinds", (F.col("n") > 1).alias("many"), first.alias("first"),
     )).alias("found"))
 
@@ -426,8 +420,7 @@ def repeated_spans(
         width = shuffle_width(docs.sparkSession)
         texts = texts.repartitionByRange(width, "first").sortWithinPartitions("first")
     texts = settled(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
-    crowd = (texts.agg(F.sum(F.size("anchor"))).first()[0] or 0) / HUBS
-    found = settled(_repeated(texts, crowd).join(texts.select("number", "digest", "first"), "number"), "found")
+    found = settled(_repeated(texts).join(texts.select("number", "digest", "first"), "number"), "found")
     named = docs.select(ordered(id_col).alias("who"), text_of(text_col).alias("text")).select(
         "who", "text", F.octet_length("text").cast("bigint").alias("n_bytes"),
         F.unhex(F.sha2("text", 256)).alias("digest"),
