@@ -5,7 +5,8 @@ terms of the inverted index are word triples; an impact is a BM25 weight divided
 part's score against itself, so one threshold serves all parts. Every training document is
 cut into overlapping passages of 128 words, and every passage is a query that retrieves
 all parts above the threshold. A retrieved item counts when its question and its answer
-both occur in the passages that found it.
+both occur in the passages that found it. An item of fewer words than the overlap check asks
+for counts where all its words stand in a row.
 
 The index is shipped in blocks of bounded size; a larger benchmark takes more passes.
 """
@@ -88,32 +89,36 @@ def _parts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, text, row in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 text = (text or "").lower()
                 words = word_hashes(text.encode())[0]
-                if len(words) < PROOF_WORDS:
+                if 0 < len(words) < PROOF_WORDS:
+                    rows.append((key, row, 0, [], words.view(np.int64), len(words)))
                     continue
                 for part, at in enumerate(range(0, len(words), PART_WORDS)):
                     terms = runs(words[at : at + PART_WORDS], TERM_WORDS).view(np.int64)
                     if len(terms):
-                        rows.append((key, part, terms, words.view(np.int64), question_words(text)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [batch.column(0).type, pa.int64(), pa.list_(pa.int64()),
+                        rows.append((key, row, part, terms, words.view(np.int64), question_words(text)))
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.list_(pa.int64()),
                      pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["item", "part", "terms", "words", "asked"],
+                ["item", "row", "part", "terms", "words", "asked"],
             )
 
-    source = items.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
+    source = items.select(
+        F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"), F.monotonically_increasing_id()
+    )
     kind = source.schema[0].dataType.simpleString()
     return source.mapInArrow(
-        run, f"item {kind}, part bigint, terms array<bigint>, words array<bigint>, asked bigint"
+        run, f"item {kind}, row bigint, part bigint, terms array<bigint>, words array<bigint>, asked bigint"
     ).withColumn("uid", F.monotonically_increasing_id())
 
 
 def impacts(parts: DataFrame) -> DataFrame:
     """``(uid, term, impact)``: BM25 weight of a term in a part over the part's own score."""
+    parts = parts.where(F.size("terms") > 0)
     sizes = parts.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     tf = parts.select("uid", F.size("terms").alias("length"), F.explode("terms").alias("term"))
     tf = tf.groupBy("uid", "term", "length").agg(F.count(F.lit(1)).alias("tf"))
@@ -131,11 +136,20 @@ class Index:
     def __init__(self, parts: list, postings: list) -> None:
         number = {row["uid"]: i for i, row in enumerate(parts)}
         self.items = [row["item"] for row in parts]
+        self.rows = [row["row"] for row in parts]
         self.question, self.answer = [], []
-        for row in parts:
+        short: dict[int, list] = defaultdict(list)
+        for i, row in enumerate(parts):
             words = np.array(row["words"], np.int64).view(np.uint64)
+            if 0 < len(words) < PROOF_WORDS:
+                short[len(words)].append((int(runs(words, len(words))[0]), i))
             self.question.append(words[: row["asked"]])
             self.answer.append(words[row["asked"] :])
+        #: By number of words: sorted hashes of whole short items, and their parts.
+        self.short = {
+            n: (np.array([h for h, _ in sorted(found)], np.uint64), [i for _, i in sorted(found)])
+            for n, found in short.items()
+        }
         lists = defaultdict(list)
         for row in postings:
             lists[row["term"]].append((number[row["uid"]], row["impact"]))
@@ -220,12 +234,40 @@ def _check(index: Index, number: int, words: np.ndarray) -> tuple[float, float]:
     )
 
 
+def _short_items(index: Index, words: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """``(text, part)`` for every short item whose words stand in a row in a text."""
+    for n, (hashes, parts) in index.short.items():
+        found = runs(words, n)
+        at = np.searchsorted(hashes, found)
+        hits = np.flatnonzero(hashes[np.minimum(at, len(hashes) - 1)] == found)
+        owner = np.searchsorted(ends, hits, side="right")
+        for text, run in {(t, r) for t, h, r in zip(
+            owner.tolist(), hits.tolist(), found[hits].tolist()) if h + n <= ends[t]}:
+            first = int(np.searchsorted(hashes, np.uint64(run)))
+            while first < len(parts) and int(hashes[first]) == run:
+                yield text, parts[first]
+                first += 1
+
+
 def search(index: Index, texts: list[str], least_score: float, least_overlap: float):
-    """``(text, part, score, question, answer)`` for every item verified in a text."""
+    """``(text, part, score, question, answer)`` for every item verified in a text: its best
+    row where several rows have one identifier, every row where they have none."""
+    best: dict[tuple, tuple] = {}
+    for text, part, *values in _verified(index, texts, least_score, least_overlap):
+        item = index.items[part]
+        name = (text, None, index.rows[part]) if item is None else (text, item)
+        if name not in best or tuple(values) > best[name][2:]:
+            best[name] = (text, part, *values)
+    return sorted(best.values())
+
+
+def _verified(index: Index, texts: list[str], least_score: float, least_overlap: float):
     data = [t.lower().encode() for t in texts]
     sizes = np.fromiter(map(len, data), np.int64, len(data)) + 1
     words, starts = word_hashes(b"\n".join(data) + b"\n")
     ends = np.searchsorted(starts, np.cumsum(sizes))
+    for text, part in _short_items(index, words, ends):
+        yield text, part, 1.0, 1.0, 1.0
     begins = np.concatenate(([0], ends[:-1]))
     terms = index.find(runs(words, TERM_WORDS))
     hits = np.flatnonzero(terms >= 0)
@@ -247,9 +289,9 @@ def search(index: Index, texts: list[str], least_score: float, least_overlap: fl
             for part, score in index.retrieve(query, least_score):
                 at = best.setdefault(part, [score, low, high])
                 at[:] = max(at[0], score), min(at[1], low), max(at[2], high)
-        asked: dict[object, list] = {}
+        asked: dict[int, list] = {}
         for part, (score, low, high) in best.items():
-            at = asked.setdefault(index.items[part], [part, score, low, high])
+            at = asked.setdefault(index.rows[part], [part, score, low, high])
             at[1:] = max(at[1], score), min(at[2], low), max(at[3], high)
         for part, score, low, high in asked.values():
             # an item is longer than a part: leave room for its other parts
@@ -265,7 +307,8 @@ def _index_blocks(items: DataFrame, id_col: str, text_col: str, block: int) -> I
     count = parts.count()
     blocks = -(-count // block)
     postings = cut(impacts(parts), "postings") if count else None
-    place = F.pmod(F.xxhash64("item"), F.lit(blocks)) if blocks > 1 else F.lit(0)
+    name = F.when(F.col("item").isNull(), F.xxhash64("row")).otherwise(F.xxhash64("item"))
+    place = F.pmod(name, F.lit(blocks)) if blocks > 1 else F.lit(0)
     placed = parts.withColumn("place", place)
     for i in range(blocks):
         some = placed.where(F.col("place") == i)
@@ -279,10 +322,11 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every verified leak.
 
-    Null texts hold nothing and leak nothing. Items of fewer than five words, null ones
-    included, name no passage and are not searched. Repeated documents are reported row by
-    row, repeated items once for each of their distinct identifiers. An empty table on
-    either side gives no rows; other columns are not read.
+    Null texts hold nothing and leak nothing; items without a word name nothing. Items of
+    fewer than five words leak where they stand word by word. Repeated documents are reported
+    row by row, items once for each of their distinct identifiers (the best match of its
+    texts), and one by one where they have none. An empty table on either side gives no rows;
+    other columns are not read.
     """
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
     keys = (source.schema[0].dataType.simpleString(), items.schema[item_col].dataType.simpleString())

@@ -21,12 +21,13 @@ from breachline.llm.common import pieces
 
 # Fixed values of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head script style template noscript iframe object audio video canvas svg math select "
-             "datalist title textarea".split())
+HIDDEN = set("head script style template noscript iframe object audio video canvas datalist title "
+             "desc metadata defs annotation annotation-xml".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCKS = SPACED | set(
     "html body div section article aside header footer nav main address form fieldset legend "
-    "li dt dd tr td th thead tbody tfoot caption figcaption details summary center hgroup".split()
+    "li dt dd tr td th thead tbody tfoot caption figcaption details summary center hgroup "
+    "option optgroup textarea".split()
 )
 # A start tag of the left closes an open element of the right, looked for up to a barrier.
 CLOSES = {
@@ -40,12 +41,19 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
     "body": ({"head"}, set()),
+    "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
 }
-_P_ENDS = (BLOCKS - {"html", "body", "tr", "td", "th", "thead", "tbody", "tfoot", "caption"}) | {"hr"}
+_P_ENDS = (BLOCKS - {"html", "body", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "option", "optgroup", "textarea"}) | {"hr"}
 _P_BARRIER = {"td", "th", "table", "button", "caption"}
 _HEAD_CONTENT = set("title meta link base style script noscript template".split())
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?)0*([0-9]+)")
+#: A document type may hold declarations of its own, which are no text.
+_DOCTYPE = re.compile(r"\s*<!doctype[^>\[]*\[[^\]]*\]\s*>", re.I)
+#: Digits of a number that count; HTML numbers are no larger.
+DIGITS = 9
 #: A column is padded to its widest cell, up to this width.
 COLUMN = 60
 
@@ -99,9 +107,20 @@ class Builder(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def whole_number(value: str | None, default: int) -> int:
+    """The number an attribute begins with; one of too many digits is the greatest of few."""
+    found = _NUMBER.match(value or "")
+    if not found:
+        return default
+    digits = found[2]
+    number = int(digits) if len(digits) <= DIGITS else 10**DIGITS - 1
+    return -number if found[1] == "-" else number
+
+
 def visible(node: Node) -> bool:
+    """Whether a page shows the element; ``aria-hidden`` only hides it from screen readers."""
     attrs = node.attrs
-    if node.tag in HIDDEN or "hidden" in attrs or (attrs.get("aria-hidden") or "") == "true":
+    if node.tag in HIDDEN or "hidden" in attrs:
         return False
     return not _INVISIBLE.search(attrs.get("style") or "")
 
@@ -175,8 +194,7 @@ class Table:
     def add(self, text: str, span: str | None) -> None:
         if not self.rows:
             self.rows.append([])
-        wide = int(span) if span and span.isascii() and span.isdigit() else 1
-        self.rows[-1].append((text.split("\n"), max(1, min(wide, 1000))))
+        self.rows[-1].append((text.split("\n"), max(1, min(whole_number(span, 1), 1000))))
 
     def lines(self) -> Iterator[str]:
         width: dict[int, int] = {}
@@ -199,7 +217,7 @@ class Table:
 def render(html: str) -> str:
     """The visible text of a page."""
     builder = Builder()
-    builder.feed(html)
+    builder.feed(_DOCTYPE.sub("", html, count=1) if _DOCTYPE.match(html) else html)
     builder.close()
     canvas, outer = Canvas(), []  # outer: canvases around open cells
     tables: list[Table] = []
@@ -220,11 +238,13 @@ def render(html: str) -> str:
                 continue
             if tag in BLOCKS and tag not in ("td", "th"):
                 canvas.need(2 if tag in SPACED and not (tag in ("ul", "ol") and lists) else 1)
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 pre += 1
             elif tag in ("ul", "ol"):
-                start = node.attrs.get("start") or ""
-                lists.append([tag == "ol", int(start) if start.isascii() and start.isdigit() else 1])
+                lists.append([tag == "ol", whole_number(node.attrs.get("start"), 1)])
+            elif tag == "optgroup":
+                canvas.text(node.attrs.get("label") or "")
+                canvas.need(1)
             elif tag == "li":
                 ordered, number = lists[-1] if lists else (False, 1)
                 marker = f"{number}. " if ordered else "- "
@@ -245,7 +265,7 @@ def render(html: str) -> str:
             todo.append((node, True))
             todo.extend((child, False) for child in reversed(node.children))
             continue
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             pre -= 1
         elif tag in ("ul", "ol"):
             lists.pop()

@@ -10,13 +10,13 @@ import pytest
 from breachline.llm import decontaminate
 from breachline.llm.decontaminate import Index, drop_leaks, find_leaks, question_words
 from breachline.llm.html_layout import extract_text, render
-from breachline.llm.suffix_dedup import LENGTH, repeated_spans
+from breachline.llm.suffix_dedup import LENGTH, factors, repeated_spans
 
 SF = "/root/testdata/sf0.001"
 
 
 def postings_of(lists):
-    parts = [{"uid": i, "item": i, "words": [], "asked": 0} for i in range(300)]
+    parts = [{"uid": i, "item": i, "row": i, "words": [], "asked": 0} for i in range(300)]
     rows = [{"uid": u, "term": t, "impact": w} for t, listed in lists.items() for u, w in listed]
     return Index(parts, rows)
 
@@ -188,7 +188,7 @@ CASES = {
     "<table><tr><td>k<td>long value<tr><th>kkk<td>v</table>": "k    long value\nkkk  v",
     "<table><tr><td colspan=2>head<tr><td>a<td>b</table>": "head\na  b",
     "a<br><p>b</p>c<br><br>d": "a\n\nb\n\nc\n\nd",
-    '<div hidden>no</div><div style="display : none">no</div><div aria-hidden="true">no</div>yes': "yes",
+    '<div hidden>no</div><div style="display : none">no</div><datalist>no</datalist>yes': "yes",
     "<head><title>no</title><style>p{}</style></head><body>yes<script>var a='</p>';</script>": "yes",
     "<head><meta charset=utf-8><p>yes": "yes",
     "<pre>a\n  b</pre>": "a\n  b",
@@ -230,3 +230,65 @@ def test_all_visible_text_of_real_pages(spark):
         words = html.unescape(re.sub(r"<[^>]*>", " ", body)).split()
         mine = [w for w in r.text.split() if w != "-"]
         assert "".join(mine) == "".join(w for w in words if w != "-")
+
+
+def test_leaks_of_items_that_share_an_identifier(spark):
+    long = [f"What is the {w} of the {w}er {w}ing thing called here? It is called the {w} {w}ation of old {w}s"
+            for w in ("blend", "drift", "crane")]
+    half = long[0].split("?")[0] + " and something else altogether follows now"
+    docs = [(1, "x " + long[0]), (2, half + ". " + long[1]), (3, long[2]), (4, "nothing of the kind")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for ids in ((None, None, 7), (5, 5, 7)):
+        items = spark.createDataFrame(list(zip(ids, long)), "item_id bigint, text string").coalesce(1)
+        got = sorted((r.doc_id, r.item_id) for r in find_leaks(table, items).collect())
+        assert got == [(1, ids[0]), (2, ids[1]), (3, 7)]
+        assert [r.doc_id for r in drop_leaks(table, items).collect()] == [4]
+        small = sorted((r.doc_id, r.item_id) for r in find_leaks(table, items, block=1).collect())
+        assert small == got
+
+
+def test_short_items_leak_word_by_word(spark):
+    items = [(1, "Zorgol vex?"), (2, "one two three four"), (3, "..."), (4, None), (5, "zorgol  VEX"), (6, "")]
+    docs = [(1, "a zorgol, vex b"), (2, "zorgol"), (3, "vex"), (4, "zero one two three fours"),
+            (5, "one two three four"), (6, "two three four one"), (7, None)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.score) for r in find_leaks(table, bench).collect())
+    assert got == [(1, 1, 1.0), (1, 5, 1.0), (5, 2, 1.0)]
+    assert sorted(r.doc_id for r in drop_leaks(table, bench).collect()) == [2, 3, 4, 6, 7]
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<ol start="' + "9" * 5000 + '"><li>a</ol>', "999999999. a"),
+    ('<ol start="-2"><li>a<li>b</ol>', "-2. a\n-1. b"),
+    ('<ol start="x"><li>a</ol>', "1. a"),
+    ('<table><tr><td colspan="' + "9" * 5000 + '">a<td>b</table>', None),
+    ('<p aria-hidden="true">shown</p><p hidden>not</p>', "shown"),
+    ("<select><optgroup label='G'><option>a<option>b</select>c", "G\na\nb\nc"),
+    ("<textarea>x\n  y</textarea>", "x\n  y"),
+    ("<math><mi>x</mi><annotation>no</annotation></math>", "x"),
+    ("<svg><title>no</title><desc>no</desc><text>yes</text></svg>", "yes"),
+    ("<!DOCTYPE html [<!ENTITY x 'y'>]><p>a", "a"),
+    ("<!doctype html><p>a [b]>", "a [b]>"),
+])
+def test_numbers_and_what_is_shown(html, text):
+    got = render(html)
+    assert got == text if text is not None else got.split() == ["a", "b"]
+
+
+def factors_by_hand(texts, starts, owner, place):
+    names = [texts[o][s : s + LENGTH] for o, s in zip(owner, starts)]
+    pairs = list(zip(names, place))
+    return ([any(n == m and q < p for m, q in pairs) for n, p in pairs],
+            [any(n == m and q > p for m, q in pairs) for n, p in pairs])
+
+
+def test_factors_equal_brute_force():
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(0, 2, 3, np.uint8)) * 200 for _ in range(6)]
+    owner = rng.integers(0, 6, 80)
+    starts = rng.integers(0, 200, 80)
+    place = owner * 1000 + starts  # the same suffix may be there twice
+    earlier, later = factors(texts, starts, owner, place)
+    want = factors_by_hand(texts, starts.tolist(), owner.tolist(), place.tolist())
+    assert earlier.tolist() == want[0] and later.tolist() == want[1]
