@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,22 +129,28 @@ def one_hot(
 ) -> DataFrame:
     """Add ``<column>_onehot``, a sparse vector over the training levels in name order.
 
-    Any number of levels; a level unseen in training and NULL give the zero vector. The only
+    Any number of levels: their positions are running counts over blocks, only their number
+    comes to the driver. A level unseen in training and NULL give the zero vector. The only
     level of a column is not dropped.
     """
+    spark = train.sparkSession
     for column in columns:
-        code, out = f"_{column}_code", f"{column}_onehot"
-        levels = train.dropna(subset=[column])
-        index = StringIndexer(
-            inputCol=column, outputCol=code, stringOrderType="alphabetAsc", handleInvalid="keep"
-        ).fit(levels)
-        size = len(index.labels)
-        first = 1 if drop_first and size > 1 else 0
-        df = index.transform(df)
-        encoder = OneHotEncoder(inputCol=code, outputCol=out, dropLast=False, handleInvalid="keep")
-        df = encoder.fit(index.transform(levels)).transform(df)
-        kept = VectorSlicer(inputCol=out, outputCol=f"{out}_kept", indices=list(range(first, size)))
-        df = kept.transform(df).drop(code, out).withColumnRenamed(f"{out}_kept", out)
+        out, code = f"{column}_onehot", f"_{column}_code"
+        levels = category_counts(train, [column]).select("key").withColumn("one", F.lit(1))
+        places = cut(
+            prefix_sums(levels, [F.col("key")], ["one"]).select("key", (F.col("cum_one") - 1).alias("value")),
+            "levels",
+        )
+        n = places.count()
+        first = 1 if drop_first and n > 1 else 0
+        keyed = df.withColumn("key", F.col(f"`{column}`").cast("string"))
+        joined = attach(keyed, places, "key", settled=True)
+        # the position after the last one is the zero vector
+        known = F.when(F.col("value") >= first, F.col("value") - first)
+        df = joined.withColumn(code, F.coalesce(known, F.lit(n - first)).cast("double")).drop("key", "value")
+        encoder = OneHotEncoder(inputCol=code, outputCol=out, dropLast=True, handleInvalid="keep")
+        greatest = spark.createDataFrame([(float(max(n - first, 1) - 1),)], f"`{code}` double")
+        df = encoder.fit(greatest).transform(df).drop(code)
     return df
 
 

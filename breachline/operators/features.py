@@ -15,13 +15,14 @@ from breachline.operators.encoding import category_index, fold_sums, out_of_fold
 from breachline.operators.joins import lookup_join
 from breachline.operators.statistics import (
     daily_volume,
+    global_stats,
     group_centroid,
     group_mean,
     group_median,
     group_stats,
     rolling_range_sum,
 )
-from breachline.settings import PERCENTILE_ACCURACY, cut, work_path
+from breachline.settings import cut, work_path
 from breachline.sources.mappings import (
     Fitted,
     as_maps,
@@ -163,7 +164,7 @@ def _distance(cols: RequestColumns) -> Column:
     )
 
 
-def _history_maps(train: DataFrame, cols: RequestColumns, accuracy: int) -> list[DataFrame]:
+def _history_maps(train: DataFrame, cols: RequestColumns, accuracy: int | None) -> list[DataFrame]:
     """Duration statistics: by type, and the means of all other keys in one aggregation."""
     by_type = group_stats(train, cols.complaint_type, "resolution_time_days", accuracy)
     stats = {f"{stat}_complaint_type": stat for stat in ("avg_dias", "std_dias", "p75_dias")}
@@ -208,7 +209,7 @@ def fit_features(
     cols: RequestColumns,
     path: str | None = None,
     fold: Column | None = None,
-    accuracy: int = PERCENTILE_ACCURACY,
+    accuracy: int | None = None,
 ) -> Fitted:
     """Fit every map on the training rows and store them below ``path``.
 
@@ -242,9 +243,9 @@ def fit_features(
             F.avg("target").alias("global_tasa"),
             F.avg(valid).alias("global_avg"),
             F.stddev(valid).alias("global_std"),
-            F.percentile_approx(valid, 0.75, accuracy).alias("global_p75"),
         ).withColumns(
             {
+                "global_p75": global_stats(train, "resolution_time_days", accuracy).select("global_p75").scalar(),
                 "global_densidad": group_median(density, [], "densidad_zip_30d", "m", accuracy).scalar(),
                 "mediana_quejas_por_dia": group_median(volume, [], "quejas_por_dia", "m", accuracy).scalar(),
             }
@@ -350,11 +351,12 @@ def build_features(
     unmapped: str = "drop",
     path: str | None = None,
     keep: tuple[str, ...] = (),
-    accuracy: int = PERCENTILE_ACCURACY,
+    accuracy: int | None = None,
 ) -> tuple[DataFrame, Fitted]:
     """Gold features of a table with a ``split`` column, and the maps they were made with.
 
-    The prepared table is written once: fitting and transforming both read it back.
+    The prepared table is written once: fitting and transforming both read it back. Medians
+    and percentiles are exact unless ``accuracy`` asks for sketches of that accuracy.
     """
     ready = cut(prepare_requests(df, lookup, cols, unmapped), "prepared")
     fitted = fit_features(ready.where(F.col("split") == "train"), cols, path, fold, accuracy)

@@ -43,11 +43,12 @@ def attach(
 
 
 def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
-    """A hash of the row: of its numbers and times beside the keys, else of all else."""
-    plain = (T.NumericType, T.DatetimeType, T.BooleanType)
-    others = [f for f in df.schema if f.name not in keys]
-    chosen = [f for f in others if isinstance(f.dataType, plain)] or others
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in chosen]) if chosen else F.lit(0).cast("bigint")
+    """A hash of all columns beside the keys; maps, which have none, go by their entries."""
+    parts = [
+        F.map_entries(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+        for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.UserDefinedType, T.VariantType))
+    ]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
 def attach_salted(

@@ -12,13 +12,16 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breachline.operators.evaluation import ranking_metrics
+from breachline.operators.joins import attach
 from breachline.operators.ordering import expanding_folds, fold_roles, union_all
 from breachline.operators.scoring import probability_of_breach
-from breachline.settings import SEED, cut
+from breachline.settings import SEED, cut, shuffle_width
 
 # Grids of the random search.
 FOREST_GRID = {
@@ -39,15 +42,47 @@ BOOSTED_GRID = {
 SEARCH_DRAWS = {"forest": 20, "boosted": 30}
 
 
+#: Memory for the statistics of the nodes that grow at the same time.
+NODE_MEMORY_MB = 1024
+
+
 def plain_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop column metadata, so that trees split category indices as numbers."""
-    return df.withColumns({c: F.col(f"`{c}`").cast("double").alias(c, metadata={}) for c in columns})
+    vectors = {f.name for f in df.schema if isinstance(f.dataType, VectorUDT)}
+    return df.withColumns(
+        {c: F.col(f"`{c}`").cast("double").alias(c, metadata={}) for c in columns if c not in vectors}
+    )
 
 
-def _fit(train: DataFrame, features: Sequence[str], classifier) -> PipelineModel:
+def assembled(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
+    """``features`` as one vector beside the columns to keep, dealt by a hash of the row.
+
+    Trees grow over partitions, so there are at least as many as cores; the order inside is
+    the hash's, so that the same rows give the same trees.
+    """
+    names = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, *features])]
+    dealt = plain_numbers(df, features).withColumn("_deal", F.xxhash64(*names))
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, shuffle_width(df.sparkSession))
+    dealt = dealt.repartition(parts, "_deal").sortWithinPartitions("_deal")
+    return assembler(features).transform(dealt).select("features", *keep)
+
+
+def assembler(features: Sequence[str]) -> VectorAssembler:
     # commas and blanks in names are fine for the assembler, which takes a list
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, classifier]).fit(plain_numbers(train, features))
+    return VectorAssembler(inputCols=list(features), outputCol="features")
+
+
+def _grow(train: DataFrame, features: Sequence[str], classifier, ready: bool) -> PipelineModel:
+    """Fit a tree ensemble; ``ready`` says that ``train`` comes from ``assembled``."""
+    keep = [classifier.getLabelCol()]
+    if classifier.isDefined("weightCol"):
+        keep.append(classifier.getWeightCol())
+    rows = train if ready else assembled(train, features, *keep)
+    return PipelineModel([assembler(features), classifier.fit(rows)])
+
+
+def _fit(train: DataFrame, features: Sequence[str], classifier) -> PipelineModel:
+    return Pipeline(stages=[assembler(features), classifier]).fit(plain_numbers(train, features))
 
 
 def fit_logistic(
@@ -57,6 +92,7 @@ def fit_logistic(
     weight: str | None = None,
     strength: float = 1.0,
     max_iter: int = 2000,
+    tolerance: float = 1e-6,
 ) -> PipelineModel:
     """L2 logistic regression on standardised features.
 
@@ -66,6 +102,7 @@ def fit_logistic(
     classifier = LogisticRegression(
         labelCol=target,
         maxIter=max_iter,
+        tol=tolerance,
         regParam=1.0 / (strength * max(rows, 1)),
         elasticNetParam=0.0,
         standardization=False,
@@ -75,11 +112,36 @@ def fit_logistic(
     return _fit(train, features, classifier)
 
 
+def logistic_gradient(
+    model: PipelineModel, train: DataFrame, target: str = "target", weight: str | None = None
+) -> DataFrame:
+    """``rows, features, gradient``: the greatest absolute component of the gradient of what the
+    fit minimises, mean loss plus penalty, at the fitted weights. At the optimum it is 0."""
+    scored = model.transform(train)
+    w = F.col(weight) if weight else F.lit(1.0)
+    fitted = model.stages[-1]
+    off = (vector_to_array("probability")[1] - F.col(target)) * w
+    part = scored.select(
+        w.alias("w"), off.alias("off"),
+        F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"),
+    )
+    slopes = [*map(float, fitted.coefficients), 0.0]  # the intercept bears no penalty
+    sums = part.select("w", "off", F.posexplode("x").alias("at", "v")).groupBy("at").agg(
+        (F.sum(F.col("off") * F.col("v")) / F.sum("w")).alias("mean"), F.count(F.lit(1)).alias("n")
+    )
+    slope = F.element_at(F.array(*map(F.lit, slopes)), F.col("at") + 1)
+    component = F.abs(F.col("mean") + slope * fitted.getOrDefault("regParam"))
+    return sums.agg(
+        F.max("n").alias("rows"), (F.count(F.lit(1)) - 1).alias("features"), F.max(component).alias("gradient")
+    )
+
+
 def fit_random_forest(
     train: DataFrame,
     features: Sequence[str],
     target: str = "target",
     weight: str | None = None,
+    ready: bool = False,
     **params: Any,
 ) -> PipelineModel:
     settings = {
@@ -88,11 +150,13 @@ def fit_random_forest(
         "minInstancesPerNode": 20,
         "featureSubsetStrategy": "sqrt",
         "seed": SEED,
+        "maxMemoryInMB": NODE_MEMORY_MB,
+        "cacheNodeIds": True,
     }
     classifier = RandomForestClassifier(labelCol=target, **(settings | params))
     if weight:
         classifier = classifier.setWeightCol(weight)
-    return _fit(train, features, classifier)
+    return _grow(train, features, classifier, ready)
 
 
 def fit_boosted_trees(
@@ -100,6 +164,7 @@ def fit_boosted_trees(
     features: Sequence[str],
     target: str = "target",
     weight: str | None = None,
+    ready: bool = False,
     **params: Any,
 ) -> PipelineModel:
     settings = {
@@ -109,11 +174,13 @@ def fit_boosted_trees(
         "subsamplingRate": 0.8,
         "featureSubsetStrategy": "0.8",
         "seed": SEED,
+        "maxMemoryInMB": NODE_MEMORY_MB,
+        "cacheNodeIds": True,
     }
     classifier = GBTClassifier(labelCol=target, **(settings | params))
     if weight:
         classifier = classifier.setWeightCol(weight)
-    return _fit(train, features, classifier)
+    return _grow(train, features, classifier, ready)
 
 
 def predictions_table(
@@ -194,6 +261,39 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str,
     return PipelineModel.load(f"{path}/model"), json.loads(document)
 
 
+def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of a stored forest: tree, node, feature, threshold, left, right, share of class 1."""
+    stored = spark.read.parquet(f"{path}/model/stages/1_*/data")
+    node = F.col("nodeData")
+    stats = node["impurityStats"]
+    return stored.select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"),
+        node["split"]["featureIndex"].alias("feature"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        (stats[1] / (stats[0] + stats[1])).alias("share"),
+    )
+
+
+def score_by_nodes(
+    nodes: DataFrame, df: DataFrame, features: Sequence[str], key: str, depth: int
+) -> DataFrame:
+    """``key, score``: rows walk down every tree by joins with its nodes, no model needed."""
+    nodes = cut(nodes, "nodes")
+    shape = nodes.agg(F.max("tree")).first()[0]
+    at = df.select(
+        F.col(key).alias("key"), F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("x"),
+        F.explode(F.sequence(F.lit(0), F.lit(shape))).alias("tree"),
+    ).withColumn("node", F.lit(0))
+    inner = nodes.where("left >= 0").select("tree", "node", "feature", "threshold", "left", "right")
+    for _ in range(depth):
+        met = attach(at, inner, ["tree", "node"], settled=True)
+        below = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = met.select("key", "x", "tree", F.coalesce(F.when(F.col("left").isNotNull(), below), F.col("node")).alias("node"))
+    leaves = attach(at.drop("x"), nodes.select("tree", "node", "share"), ["tree", "node"], settled=True)
+    return leaves.groupBy("key").agg(F.avg("share").alias("score"))
+
+
 def draw_settings(grid: Mapping[str, Sequence[Any]], draws: int, seed: int = SEED) -> list[dict]:
     """Distinct random combinations of a grid, at most ``draws`` of them."""
     size = 1
@@ -210,6 +310,14 @@ def draw_settings(grid: Mapping[str, Sequence[Any]], draws: int, seed: int = SEE
     return settings
 
 
+def cost(settings: Mapping[str, Any]) -> float:
+    """Work of a fit in nodes that may grow, to begin with the dearest."""
+    trees = settings.get("numTrees", settings.get("maxIter", 1))
+    subset = str(settings.get("featureSubsetStrategy", "1.0"))
+    share = float(subset) if subset.replace(".", "").isdigit() else 0.2
+    return trees * settings.get("maxDepth", 5) * share / settings.get("minInstancesPerNode", 1)
+
+
 def temporal_random_search(
     train: DataFrame,
     features: Sequence[str],
@@ -226,23 +334,28 @@ def temporal_random_search(
     """Mean average precision of random settings over folds that always test later rows.
 
     The loop runs over settings and folds, never over rows; one number per setting comes back.
-    ``parallelism`` settings are fitted at the same time.
+    The features are assembled and stored once for all fits; ``parallelism`` settings are
+    fitted at the same time, the dearest first. ``fit`` is told by ``ready`` that its rows
+    are assembled.
     """
     spark = train.sparkSession
-    folded = cut(expanding_folds(plain_numbers(train, features), order, folds), "folds")
+    keep = [target, *([weight] if weight else []), "fold"]
+    folded = cut(assembled(expanding_folds(train, order, folds), features, *keep), "folds")
 
     def measure(settings: dict[str, Any]) -> tuple[str, float | None]:
         tested = []
         for fold in range(folds):
             part = fold_roles(folded, fold)
-            model = fit(part.where(F.col("role") == "train"), features, target, weight, **settings)
-            scored = probability_of_breach(model, part.where(F.col("role") == "test"), "score")
-            tested.append(scored.select(F.lit(fold).alias("fold"), F.col(target).alias("y"), "score"))
+            model = fit(part.where(F.col("role") == "train"), features, target, weight, ready=True, **settings)
+            scored = model.stages[-1].transform(part.where(F.col("role") == "test"))
+            score = vector_to_array("probability")[1].alias("score")
+            tested.append(scored.select(F.lit(fold).alias("fold"), F.col(target).alias("y"), score))
         per_fold = ranking_metrics(union_all(tested), by=["fold"])
         return json.dumps(settings, sort_keys=True), per_fold.agg(F.avg("average_precision")).first()[0]
 
+    drawn = sorted(draw_settings(grid, draws, seed), key=cost, reverse=True)
     with ThreadPoolExecutor(parallelism) as pool:
-        results = list(pool.map(inheritable_thread_target(measure), draw_settings(grid, draws, seed)))
+        results = list(pool.map(inheritable_thread_target(measure), drawn))
     best = max(results, key=lambda r: (-1.0 if r[1] is None else r[1], r[0]))
     table = spark.createDataFrame(results, "settings string, average_precision double")
     return table.orderBy(F.desc_nulls_last("average_precision"), F.desc("settings")), json.loads(best[0])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +73,13 @@ def prefix_sums(
     )
     if not by:  # one row per block
         starts = F.broadcast(starts)
+    # NULL is a group like any other
+    renamed = starts.select(
+        F.col("_block").alias("_at"), *[F.col(f"`{c}`").alias(f"_by{i}") for i, c in enumerate(by)],
+        *[c for c in starts.columns if c not in {"_block", *by}],
+    )
+    same = [F.col("_block") == F.col("_at")]
+    same += [F.col(f"`{c}`").eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
     inside = (
         Window.partitionBy(*by, "_block")
         .orderBy("_pos")
@@ -79,9 +87,9 @@ def prefix_sums(
     )
     return (
         placed.withColumns({f"cum_{x}": F.sum(x).over(inside) for x in sums})
-        .join(starts, [*by, "_block"])
+        .join(renamed, reduce(and_, same))
         .withColumns({f"cum_{x}": F.col(f"cum_{x}") + F.col(f"_start_{x}") for x in sums})
-        .drop("_block", "_pos", *[f"_start_{x}" for x in sums])
+        .drop("_block", "_pos", "_at", *[f"_by{i}" for i in range(len(by))], *[f"_start_{x}" for x in sums])
     )
 
 
@@ -114,10 +122,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     return running.groupBy("columna").agg(*picks).select("columna", *results)
 
 
-def discrete_quantiles_of(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
-    """The same for many columns at once, from their ``value_counts``: a row per column."""
-    running = prefix_sums(counts, [F.col("value")], ["n"], by=["columna"])
-    return running.groupBy("columna").agg(
+def discrete_quantiles_of(
+    counts: DataFrame, shares: Sequence[float], by: Sequence[str] = ("columna",)
+) -> DataFrame:
+    """Per group of ``by, value, n`` the least value with at least the share of rows at or
+    below it: ``q_0``, ``q_1``, …; a large group lies in as many blocks as it needs."""
+    running = prefix_sums(counts, [F.col("value")], ["n"], by=by)
+    return running.groupBy(*by).agg(
         *[
             F.min(F.when(F.col("cum_n") >= F.ceil(F.col("all_n") * F.lit(s)), F.col("value"))).alias(f"q_{i}")
             for i, s in enumerate(shares)
@@ -125,22 +136,21 @@ def discrete_quantiles_of(counts: DataFrame, shares: Sequence[float]) -> DataFra
     )
 
 
-def discrete_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
-    """The least value with at least the share of rows at or below it: ``q_0``, ``q_1``, …
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float]
+) -> DataFrame:
+    """The same from a table: exact, from running counts of the distinct values of a column.
 
-    Exact, from running counts of the distinct values of one numeric column.
+    A group without a known value has no row; without keys there is one row in any case.
     """
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("value")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    running = prefix_sums(counted, [F.col("value")], ["n"])
-    picks = [
-        F.min(F.when(F.col("cum_n") >= F.ceil(F.col("all_n") * F.lit(s)), F.col("value")))
-        for s in shares
-    ]
-    return running.agg(*[p.alias(f"q_{i}") for i, p in enumerate(picks)])
+    return discrete_quantiles_of(counts, shares, list(keys))
+
+
+def discrete_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+    return group_quantiles(df, [], column, shares)
 
 
 def expanding_folds(df: DataFrame, order: Sequence[Column], k: int = 5) -> DataFrame:

@@ -3,13 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from breachline.settings import PERCENTILE_ACCURACY
+from breachline.operators.ordering import group_quantiles
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two tables with one row per group side by side; NULL is a group like any other."""
+    if not keys:  # one row each
+        return left.join(F.broadcast(right))
+    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_{k}`")) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"_{k}" for k in keys])
+
+
+def _percentile(
+    df: DataFrame, keys: Sequence[str], value: str, share: float, name: str, accuracy: int | None
+) -> DataFrame:
+    """One percentile per group: exact, or a sketch of the accuracy asked for."""
+    if accuracy is None:
+        return group_quantiles(df, keys, value, [share]).withColumnRenamed("q_0", name)
+    return df.groupBy(*keys).agg(F.percentile_approx(value, share, accuracy).alias(name))
 
 
 def group_percentile(
@@ -19,36 +39,29 @@ def group_percentile(
     share: float = 0.75,
     minimum: float = 0.001,
     name: str = "p75_resolution_time_days",
-    accuracy: int = PERCENTILE_ACCURACY,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """The percentile of valid durations per group, one row per group."""
-    valid = df.where(F.col(value) >= minimum)
-    return valid.groupBy(key).agg(F.percentile_approx(value, share, accuracy).alias(name))
+    return _percentile(df.where(F.col(value) >= minimum), [key], value, share, name, accuracy)
 
 
 def group_stats(
-    df: DataFrame, key: str | Sequence[str], value: str, accuracy: int = PERCENTILE_ACCURACY
+    df: DataFrame, key: str | Sequence[str], value: str, accuracy: int | None = None
 ) -> DataFrame:
     """Mean, sample deviation, 75th percentile and rows of the valid durations per group."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (
-        df.where(F.col(value) >= 0)
-        .groupBy(*keys)
-        .agg(
-            F.avg(value).alias("avg_dias"),
-            F.stddev(value).alias("std_dias"),
-            F.percentile_approx(value, 0.75, accuracy).alias("p75_dias"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    valid = df.where(F.col(value) >= 0)
+    moments = valid.groupBy(*keys).agg(
+        F.avg(value).alias("avg_dias"), F.stddev(value).alias("std_dias"), F.count(F.lit(1)).alias("n")
     )
+    joined = _joined(moments, _percentile(valid, keys, value, 0.75, "p75_dias", accuracy), keys)
+    return joined.select(*keys, "avg_dias", "std_dias", "p75_dias", "n")
 
 
-def global_stats(df: DataFrame, value: str, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    return df.where(F.col(value) >= 0).agg(
-        F.avg(value).alias("global_avg"),
-        F.stddev(value).alias("global_std"),
-        F.percentile_approx(value, 0.75, accuracy).alias("global_p75"),
-    )
+def global_stats(df: DataFrame, value: str, accuracy: int | None = None) -> DataFrame:
+    valid = df.where(F.col(value) >= 0)
+    moments = valid.agg(F.avg(value).alias("global_avg"), F.stddev(value).alias("global_std"))
+    return _joined(moments, _percentile(valid, [], value, 0.75, "global_p75", accuracy), [])
 
 
 def group_mean(df: DataFrame, key: str | Sequence[str], value: str, name: str) -> DataFrame:
@@ -57,11 +70,11 @@ def group_mean(df: DataFrame, key: str | Sequence[str], value: str, name: str) -
 
 
 def group_median(
-    df: DataFrame, keys: str | Sequence[str], value: str, name: str, accuracy: int = PERCENTILE_ACCURACY
+    df: DataFrame, keys: str | Sequence[str], value: str, name: str, accuracy: int | None = None
 ) -> DataFrame:
-    """Approximate median per group; an empty key list gives the global median."""
+    """Median per group, a value of the column; an empty key list gives the global median."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(name))
+    return _percentile(df, keys, value, 0.5, name, accuracy)
 
 
 def group_centroid(

@@ -14,7 +14,6 @@ from breachline.operators import splitting as L
 from breachline.operators import statistics as S
 from breachline.plans import pipelines
 from breachline.plans.fixture import (
-    FINE,
     JUDGED,
     REQUESTS,
     SILVER,
@@ -172,7 +171,7 @@ def breach_by_percentile(spark, sf_dir):
     from breachline.operators.joins import attach
 
     df = cut(judged(spark, sf_dir).select("request_key", "complaint_type", "resolution_time_days"))
-    limits = S.group_percentile(df, "complaint_type", "resolution_time_days", accuracy=FINE)
+    limits = S.group_percentile(df, "complaint_type", "resolution_time_days")
     joined = attach(df, limits, "complaint_type")
     flag = sla.breach_by_percentile(F.col("resolution_time_days"), F.col("p75_resolution_time_days"))
     return rounded(
@@ -220,7 +219,7 @@ SELECT complaint_type, round(quantile_disc(resolution_time_days, 0.75), 6) AS p7
 FROM judged WHERE resolution_time_days >= 0.001 GROUP BY 1"""
 )
 def resolution_percentiles(spark, sf_dir):
-    return rounded(S.group_percentile(judged(spark, sf_dir), "complaint_type", "resolution_time_days", accuracy=FINE))
+    return rounded(S.group_percentile(judged(spark, sf_dir), "complaint_type", "resolution_time_days"))
 
 
 @query(
@@ -230,7 +229,7 @@ SELECT complaint_type, round(avg(resolution_time_days), 6) AS avg_dias, round(st
 )
 def duration_stats_by_type(spark, sf_dir):
     train = splits(spark, sf_dir).where(F.col("split") == "train")
-    return rounded(S.group_stats(train, "complaint_type", "resolution_time_days", FINE))
+    return rounded(S.group_stats(train, "complaint_type", "resolution_time_days"))
 
 
 @query(
@@ -240,7 +239,7 @@ SELECT round(avg(resolution_time_days), 6) AS global_avg, round(stddev_samp(reso
 )
 def duration_stats_overall(spark, sf_dir):
     train = splits(spark, sf_dir).where(F.col("split") == "train")
-    return rounded(S.global_stats(train, "resolution_time_days", FINE))
+    return rounded(S.global_stats(train, "resolution_time_days"))
 
 
 @query(
@@ -251,7 +250,7 @@ def median_day_by_group(spark, sf_dir):
     daily = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return S.group_median(daily, "l_suppkey", "n", "median_day", FINE)
+    return S.group_median(daily, "l_suppkey", "n", "median_day")
 
 
 @query(
@@ -591,7 +590,7 @@ def gold(spark, sf_dir):
     """Gold features of the fixture and the maps fitted for them."""
     base = cut(silver(spark, sf_dir), "silver")
     return X.build_features(
-        L.temporal_split(base, "created_ts"), fixture_lookup(spark), COLS, keep=("request_key",), accuracy=FINE
+        L.temporal_split(base, "created_ts"), fixture_lookup(spark), COLS, keep=("request_key",)
     )
 
 

@@ -33,9 +33,6 @@ FIXTURE_CONTRACTS = [
     ("4-NOT SPECIFIED", 900.0, 106000.0),
 ]
 
-#: Fine enough for the sketched percentiles to equal the SQL ones on the checked tables.
-FINE = 1_000_000
-
 FIELDS = [
     "request_key", "created_ts", "closed_ts", "agency", "borough", "complaint_type", "channel",
     "location_type", "incident_zip", "latitude", "longitude", "quantity", "price", "discount",

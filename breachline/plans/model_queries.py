@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from breachline.operators import balancing as B
@@ -14,7 +17,7 @@ from breachline.operators import splitting as L
 from breachline.operators.ordering import union_all
 from breachline.operators.scoring import score_requests
 from breachline.plans import pipelines
-from breachline.plans.feature_queries import COLS, gold
+from breachline.plans.feature_queries import COLS, GOLD, gold
 from breachline.plans.fixture import fixture_lookup, rounded, silver, splits, table
 from breachline.plans.registry import query
 from breachline.settings import cut, work_path
@@ -47,10 +50,31 @@ def final_splits(spark, sf_dir):
     return cut(judged.join(made, "request_key"), "final")
 
 
+#: Where an application stored the table and the model of a folder of tables.
+_STORED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _there(spark, path):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def _stored_forest(spark, sf_dir):
+    """Paths of the final table and of its forest, which all queries of a session share."""
+    name = (spark.conf.get("spark.app.id"), sf_dir)
+    if name not in _STORED or not all(_there(spark, p) for p in _STORED[name]):
+        data, path = work_path(spark, "final"), work_path(spark, "forest")
+        final_splits(spark, sf_dir).write.parquet(data)
+        train = E.with_class_weight(part(spark.read.parquet(data), "train"))
+        model = M.fit_random_forest(train, FINAL, weight="weight")
+        M.save_model(model, path, {"features": FINAL, "threshold": 0.5})
+        _STORED[name] = (data, path)
+    return _STORED[name]
+
+
 def _forest(spark, sf_dir):
-    df = final_splits(spark, sf_dir)
-    train = E.with_class_weight(part(df, "train"))
-    return df, M.fit_random_forest(train, FINAL, weight="weight")
+    data, path = _stored_forest(spark, sf_dir)
+    return spark.read.parquet(data), M.load_model(spark, path)[0]
 
 
 @query()
@@ -68,16 +92,46 @@ def minimum_to_beat(spark, sf_dir):
     return rounded(M.minimum_to_beat(flagged))
 
 
+CATEGORIES = ["agency", "borough", "complaint_type", "channel", "location_type"]
+MEASURES = [f for f in FINAL if not f.endswith("_idx")]
+LINEAR = [*MEASURES, *[f"{c}_onehot" for c in CATEGORIES]]
+
+
+def linear_splits(spark, sf_dir):
+    """Gold features as a linear model takes them: z-scores, and categories one-hot."""
+    judged = splits(spark, sf_dir).where(F.col("target").isNotNull()).select(
+        "request_key", "target", "penalty_charged", "split", *CATEGORIES
+    )
+    made = gold(spark, sf_dir)[0].select("request_key", *MEASURES)
+    df = cut(judged.join(made, "request_key"), "linear")
+    scaled = E.standardize(part(df, "train"), df, MEASURES)
+    return cut(E.one_hot(part(df, "train"), scaled, CATEGORIES), "scaled")
+
+
 @query()
 def logistic_metrics(spark, sf_dir):
-    df = judged_splits(spark, sf_dir)
-    scaled = cut(E.standardize(part(df, "train"), df, FEATURES), "scaled")
+    scaled = linear_splits(spark, sf_dir)
     train = E.with_class_weight(part(scaled, "train"))
     models = {
-        "LR (sin balanceo)": M.fit_logistic(train, FEATURES),
-        "LR + class_weight": M.fit_logistic(train, FEATURES, weight="weight"),
+        "LR (sin balanceo)": M.fit_logistic(train, LINEAR),
+        "LR + class_weight": M.fit_logistic(train, LINEAR, weight="weight"),
     }
-    return V.model_metrics(M.predictions_table(models, part(scaled, "val"), FEATURES, "request_key"))
+    return V.model_metrics(M.predictions_table(models, part(scaled, "val"), LINEAR, "request_key"))
+
+
+@query(
+    f"""WITH {GOLD}, l AS (
+  SELECT s.* FROM splits s JOIN gold USING (request_key) WHERE s.split = 'train' AND s.target IS NOT NULL)
+SELECT count(*) AS rows, CAST({len(MEASURES)} + {" + ".join(f"greatest(count(DISTINCT {c}) - 1, 1)" for c in CATEGORIES)} AS BIGINT) AS features,
+       CAST(0 AS DOUBLE) AS gradient FROM l"""
+)
+def logistic_optimum(spark, sf_dir):
+    """The greatest component of the gradient at the fitted weights is 0 to three digits."""
+    train = E.with_class_weight(part(linear_splits(spark, sf_dir), "train"))
+    model = M.fit_logistic(train, LINEAR, weight="weight", tolerance=1e-10)
+    return M.logistic_gradient(model, train, weight="weight").select(
+        "rows", "features", F.round("gradient", 3).alias("gradient")
+    )
 
 
 @query()
@@ -122,6 +176,29 @@ def balanced_by_smote(spark, sf_dir):
     )
 
 
+@query(
+    """WITH c AS (SELECT count_if(event_type <> 'error') AS neg, count_if(event_type = 'error') AS pos FROM events),
+made AS (SELECT CASE WHEN pos < 2 OR neg < pos THEN 0 ELSE neg - pos END AS n FROM c)
+SELECT 0 AS target, FALSE AS synthetic, neg AS n, TRUE AS inside FROM c
+UNION ALL SELECT 1, FALSE, pos, TRUE FROM c UNION ALL SELECT 1, TRUE, n, TRUE FROM made WHERE n > 0"""
+)
+def smote_class_sizes(spark, sf_dir):
+    """Rows of each kind, and that no synthetic row lies outside what its class spans."""
+    columns = ["value", "hour", "user"]
+    items = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_type") == "error").cast("int").alias("target"), "value",
+        F.hour("ts").cast("double").alias("hour"), F.col("user_id").cast("double").alias("user"),
+    )
+    balanced = cut(B.smote(items, columns, "event_id"), "balanced")
+    spans = items.groupBy("target").agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]
+    )
+    inside = reduce(and_, [F.col(c).between(F.col(f"low_{c}"), F.col(f"high_{c}")) for c in columns])
+    return balanced.join(F.broadcast(spans), "target").groupBy("target", "synthetic").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(inside).alias("inside")
+    )
+
+
 @query()
 def random_search(spark, sf_dir):
     df = part(final_splits(spark, sf_dir), "train")
@@ -156,6 +233,37 @@ def contribution_importance(spark, sf_dir):
     return I.mean_abs_contribution(parts)
 
 
+@query(
+    f"""WITH {GOLD}
+SELECT least(500, count(*)) AS explained, CAST(0 AS DOUBLE) AS gap
+FROM splits s JOIN gold USING (request_key) WHERE s.split = 'val' AND s.target IS NOT NULL"""
+)
+def contributions_add_up(spark, sf_dir):
+    """A row's contributions sum to what its score differs from those it started from."""
+    df, model = _forest(spark, sf_dir)
+    gaps = I.contribution_gaps(model, part(df, "val"), "request_key", 500)
+    gap = F.max(F.abs(F.col("explained") - F.col("difference")))
+    return gaps.agg(F.count(F.lit(1)).alias("explained"), F.round(gap, 9).alias("gap"))
+
+
+@query(
+    f"""WITH {GOLD}
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differ
+FROM splits s JOIN gold USING (request_key) WHERE s.split = 'val' AND s.target IS NOT NULL"""
+)
+def stored_forest_scores(spark, sf_dir):
+    """The stored forest, walked node by node with joins, scores like the model read back."""
+    data, path = _stored_forest(spark, sf_dir)
+    val = part(spark.read.parquet(data), "val")
+    model = M.load_model(spark, path)[0]
+    depth = model.stages[-1].getOrDefault("maxDepth")
+    walked = M.score_by_nodes(M.forest_nodes(spark, path), val, FINAL, "request_key", depth)
+    given = M.predictions_table({"RF": model}, val, FINAL, "request_key").select("key", F.col("score").alias("given"))
+    both = given.join(walked, "key", "left")
+    differ = F.coalesce(F.abs(F.col("given") - F.col("score")) > 1e-9, F.lit(True))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(differ).alias("differ"))
+
+
 @query()
 def linear_contribution_importance(spark, sf_dir):
     df = judged_splits(spark, sf_dir)

@@ -15,10 +15,6 @@ BROADCAST_BYTES = 16 << 20
 #: with a third of all rows is spread over as many tasks.
 SALTS = 16
 
-#: Accuracy of percentile_approx: rank error 1/accuracy. Every task ships a sketch whose size
-#: grows with it, so it stays at Spark's own default unless a caller asks for more.
-PERCENTILE_ACCURACY = 10_000
-
 SEED = 42
 
 
