@@ -4,31 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from breachline.functions.text import joined_key
 from breachline.operators import cleaning as C
 from breachline.operators import dashboards as D
 from breachline.operators import profiles as P
 from breachline.operators import reports as R
 from breachline.operators import statistics as S
-from breachline.plans.fixture import FIELDS, REQUESTS, SILVER, requests, rounded, silver, table
+from breachline.plans.fixture import FIELDS, REQUESTS, SILVER, requests, rounded, silver
 from breachline.plans.registry import query
-from breachline.settings import cut
+from breachline.settings import cut, work_path
 
-# Columns profiled by the report queries, with the type name the report shows.
+# Every request column, with the type name the report shows.
+TIMES = ["created_ts", "closed_ts"]
+WHOLE = ["request_key", "incident_zip"]
+REAL = ["latitude", "longitude", "quantity", "price", "discount", "tax"]
+NUMERIC = [*WHOLE, *REAL]
 PROFILED = {
-    "agency": "StringType()",
-    "location_type": "StringType()",
-    "incident_zip": "LongType()",
-    "latitude": "DoubleType()",
-    "quantity": "DoubleType()",
-    "price": "DoubleType()",
-    "discount": "DoubleType()",
-}
-NUMERIC = ["incident_zip", "latitude", "quantity", "price", "discount"]
-
-
-def _missing_sql(source: str) -> str:
+    f: "TimestampType()" if f in TIMES else "LongType()" if f in WHOLE
+    else "DoubleType()" if f in REAL else "StringType()" for f in FIELDS
+}
+# Silver loses one column and has one of its own, so that the layers differ.
+CLEANED = {c: k for c, k in PROFILED.items() if c != "tax"} | {"borough_channel": "StringType()"}
+
+
+def _missing_sql(source: str, columns: dict[str, str] = PROFILED) -> str:
     parts = []
-    for name, kind in PROFILED.items():
+    for name, kind in columns.items():
         text = f" OR {name} IN ('', 'Unspecified')" if kind == "StringType()" else ""
         parts.append(
             f"SELECT '{name}' AS columna, '{kind}' AS tipo_dato, count_if({name} IS NULL{text}) AS nulos_n,"
@@ -56,6 +57,7 @@ def _outlier_sql(source: str) -> str:
 
 
 _COLUMNS = ", ".join(PROFILED)
+_NULLS = ", ".join(f"count_if({c} IS NULL)" for c in FIELDS)
 BRONZE_REPORT = (
     REQUESTS
     + f""",
@@ -73,9 +75,9 @@ BOTH_REPORTS = (
     SILVER
     + f""",
 bronze AS (SELECT {_COLUMNS} FROM requests),
-clean AS (SELECT {_COLUMNS.replace("latitude, ", "")}, channel FROM silver),
+clean AS (SELECT * EXCLUDE (tax), concat_ws('_', borough, channel) AS borough_channel FROM silver),
 report_b AS ({_missing_sql("bronze")}),
-report_s AS ({_missing_sql("clean").replace("SELECT 'latitude' AS columna", "SELECT 'channel' AS columna").replace("'DoubleType()' AS tipo_dato, count_if(latitude IS NULL)", "'StringType()' AS tipo_dato, count_if(channel IS NULL OR channel IN ('', 'Unspecified'))").replace("count_if(latitude IS NULL)", "count_if(channel IS NULL OR channel IN ('', 'Unspecified'))").replace("DISTINCT latitude", "DISTINCT channel").replace("WHEN latitude", "WHEN channel")})"""
+report_s AS ({_missing_sql("clean", CLEANED)})"""
 )
 
 
@@ -89,14 +91,11 @@ def _bronze_report(spark, sf_dir):
 
 def _both_reports(spark, sf_dir):
     first = P.missing_profile(_bronze(spark, sf_dir))
-    kept = [c for c in PROFILED if c != "latitude"]
-    second = P.missing_profile(silver(spark, sf_dir).select(*kept, "channel"))
+    made = joined_key(F.col("borough"), F.col("channel"))
+    second = P.missing_profile(silver(spark, sf_dir).drop("tax").withColumn("borough_channel", made))
     return cut(first, "report-bronze"), cut(second, "report-silver")
 
 
-_NULLS = ", ".join(f"count_if({c} IS NULL)" for c in FIELDS)
-
-
 @query(
     f"""WITH {REQUESTS}
 SELECT columna, nulos_n, round(nulos_n * 100.0 / (SELECT count(*) FROM requests), 6) AS nulos_pct FROM (
@@ -113,12 +112,21 @@ def missing_profile(spark, sf_dir):
 
 @query(
     f"""WITH {REQUESTS}
-SELECT columna, nulos_n, total_filas_dataset FROM ({_missing_sql("requests")})"""
+SELECT columna, nulos_n, total_filas_dataset, unicos_n, TRUE AS within_3_pct FROM ({_missing_sql("requests")})"""
 )
 def missing_profile_sketched(spark, sf_dir):
-    """The one-pass profile; its approximate distinct counts are left out here."""
-    profile = P.missing_profile(_bronze(spark, sf_dir), approximate=True)
-    return profile.select("columna", "nulos_n", "total_filas_dataset")
+    """Sketches stored per load and merged, their distinct counts held against exact ones."""
+    bronze = cut(_bronze(spark, sf_dir), "bronze")
+    path = work_path(spark, "sketches")
+    for load in ("A", "N", "R"):
+        P.profile_sketch(bronze.where(F.col("returnflag") == load)).write.mode("append").parquet(path)
+    merged = P.sketched_counts(P.merged_sketches(spark.read.parquet(path)))
+    exact = P.missing_profile(bronze).select("columna", F.col("unicos_n").alias("exact_n"))
+    off = F.abs(F.col("unicos_n") - F.col("exact_n"))
+    return merged.join(exact, "columna").select(
+        "columna", "nulos_n", "total_filas_dataset", F.col("exact_n").alias("unicos_n"),
+        (off <= F.col("exact_n") * 0.03).alias("within_3_pct"),
+    )
 
 
 @query(f"WITH {BRONZE_REPORT} SELECT * FROM report_b")
@@ -148,15 +156,14 @@ def quality_score(spark, sf_dir):
 
 @query(
     f"""WITH {REQUESTS}, s AS (
-  SELECT (count_if(agency IS NULL) + count_if(incident_zip IS NULL) + count_if(latitude IS NULL)
-          + count_if(closed_ts IS NULL)) / 4.0 * 100 / count(*) AS pct, count(*) AS n FROM requests)
+  SELECT ({_NULLS.replace("), ", ") + ")}) / {len(FIELDS)}.0 * 100 / count(*) AS pct, count(*) AS n FROM requests)
 SELECT n AS rows, round(pct, 6) AS mean_null_pct, round(greatest(0, 100 - pct), 6) AS score,
        CASE WHEN 100 - pct >= 85 THEN 'success' WHEN 100 - pct >= 60 THEN 'warning' ELSE 'danger' END AS color,
        CASE WHEN 100 - pct >= 80 THEN 'Óptimo' WHEN 100 - pct >= 50 THEN 'Aceptable' ELSE 'Crítico' END AS band,
        100 - pct >= 80 AS meets_target FROM s"""
 )
 def gold_quality_score(spark, sf_dir):
-    df = requests(spark, sf_dir, ["agency", "incident_zip", "latitude", "closed_ts"])
+    df = requests(spark, sf_dir)
     return rounded(R.gold_quality_score(df).withColumns(R.quality_band(F.col("score"))))
 
 
@@ -292,22 +299,12 @@ def _eda_sql(columns: dict[str, bool]) -> str:
     return " UNION ALL ".join(parts)
 
 
-EDA = {"agency": False, "created_date": False, "incident_zip": True, "quantity": True, "latitude": True}
-EDA_SQL = (
-    f"WITH {REQUESTS}, eda AS (SELECT agency, strftime(created_ts, '%Y-%m-%d') AS created_date, incident_zip,"
-    " quantity, round(latitude, 3) AS latitude FROM requests)"
-)
+EDA = {c: c in NUMERIC for c in FIELDS}
+EDA_SQL = f"WITH {REQUESTS}, eda AS (SELECT {_COLUMNS} FROM requests)"
 
 
 def _eda(spark, sf_dir):
-    df = requests(spark, sf_dir, ["agency", "created_ts", "incident_zip", "quantity", "latitude"])
-    return df.select(
-        "agency",
-        F.date_format("created_ts", "yyyy-MM-dd").alias("created_date"),
-        "incident_zip",
-        "quantity",
-        F.round("latitude", 3).alias("latitude"),
-    )
+    return _bronze(spark, sf_dir)
 
 
 @query(f"{EDA_SQL} {_eda_sql(EDA)}")
@@ -336,17 +333,13 @@ def _skew_sql(columns: list[str]) -> str:
 
 
 @query(
-    f"""WITH t AS (SELECT l_quantity, l_extendedprice, l_discount, l_quantity * l_quantity * l_extendedprice AS heavy FROM lineitem)
+    f"""WITH {REQUESTS}, t AS (SELECT {", ".join(NUMERIC)}, quantity * quantity * price AS heavy FROM requests)
 SELECT columna, abs_skew, CASE WHEN abs_skew > 2 THEN 'severe' WHEN abs_skew > 1 THEN 'moderate' ELSE 'ok' END AS level
-FROM ({_skew_sql(["l_quantity", "l_extendedprice", "l_discount", "heavy"])})"""
+FROM ({_skew_sql([*NUMERIC, "heavy"])})"""
 )
 def skewness_profile(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select(
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        (F.col("l_quantity") * F.col("l_quantity") * F.col("l_extendedprice")).alias("heavy"),
-    )
+    heavy = F.col("quantity") * F.col("quantity") * F.col("price")
+    df = requests(spark, sf_dir, NUMERIC).withColumn("heavy", heavy)
     return rounded(P.skewness_profile(df), 4)
 
 
@@ -360,9 +353,9 @@ def _describe_sql(columns: list[str]) -> str:
     )
 
 
-@query(f"WITH {REQUESTS} {_describe_sql(['incident_zip', 'latitude', 'price', 'discount'])}")
+@query(f"WITH {REQUESTS} {_describe_sql(NUMERIC)}")
 def describe_numeric(spark, sf_dir):
-    df = requests(spark, sf_dir, ["incident_zip", "latitude", "price", "discount"])
+    df = requests(spark, sf_dir, NUMERIC)
     return P.describe_numeric(cut(df, "described"))
 
 

@@ -412,3 +412,52 @@ def test_smote_balances_between_neighbours(spark):
 def test_work_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert work_folder(spark) == configured if configured else work_folder(spark).startswith("/tmp")
+
+
+def test_group_quantiles_are_exact_with_null_and_hot_groups(spark):
+    from breachline.operators.ordering import group_quantiles
+
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else f"k{i % 11}", float(i * 37 % 1009)) for i in range(3000)]
+    rows += [("gone", None), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.q_0, r.q_1) for r in group_quantiles(df, ["k"], "v", [0.5, 0.75]).collect()}
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    want = {
+        k: tuple(sorted(vs)[-(-len(vs) * top // 4) - 1] for top in (2, 3)) for k, vs in groups.items()
+    }
+    assert got == want and "gone" not in got
+    assert S.group_median(df, [], "v", "m").first().m == sorted(v for _, v in rows if v is not None)[1499]
+    stats = {r.k: r for r in S.group_stats(df, "k", "v").collect()}
+    assert {k: r.p75_dias for k, r in stats.items()} == {k: w[1] for k, w in want.items()}
+
+
+def test_sketches_of_loads_merge_to_the_sketch_of_all(spark):
+    df = spark.range(20_000).selectExpr(
+        "id", "id % 100 AS few", "CASE WHEN id % 3 = 0 THEN '' WHEN id % 5 = 0 THEN NULL ELSE 'x' END AS t",
+        "CAST(id % 7 AS DOUBLE) * IF(id % 2 = 0, -1, 1) AS d")
+    whole = {r.columna: r for r in P.sketched_counts(P.profile_sketch(df)).collect()}
+    loads = P.profile_sketch(df.where("id % 2 = 0")).union(P.profile_sketch(df.where("id % 2 = 1")))
+    merged = {r.columna: r for r in P.sketched_counts(P.merged_sketches(loads)).collect()}
+    assert whole == merged
+    exact = {r.columna: r for r in P.missing_profile(df).collect()}
+    for name, row in whole.items():
+        assert (row.nulos_n, row.total_filas_dataset) == (exact[name].nulos_n, 20_000)
+        assert abs(row.unicos_n - exact[name].unicos_n) <= 0.03 * exact[name].unicos_n
+    assert whole["t"].unicos_n == 3 and whole["few"].unicos_n == 100
+
+
+def test_one_hot_leaves_the_levels_on_the_cluster(spark):
+    train = spark.range(100_000).selectExpr("lpad(id, 8, '0') AS c")
+    hot = E.one_hot(train, spark.createDataFrame([("00000000",), ("00099999",), ("x",), (None,)], "c string"), ["c"])
+    got = {r.c: (r.c_onehot.size, r.c_onehot.indices.tolist()) for r in hot.collect()}
+    assert got == {"00000000": (99_999, []), "00099999": (99_999, [99_998]), "x": (99_999, []), None: (99_999, [])}
+
+
+def test_salts_come_from_all_columns(spark):
+    from breachline.operators.joins import _spread
+
+    df = spark.range(1000).selectExpr("'hot' AS k", "1 AS constant", "CAST(id AS STRING) AS text")
+    assert df.select((_spread(df, ["k"]) % 16).alias("s")).distinct().count() == 31
