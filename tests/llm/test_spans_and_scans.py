@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+import string
 
 import pytest
 
 from breachline.llm import licenses
 from breachline.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses
 from breachline.llm.pii import KINDS, Judge, fit_judge, redact, scan_personal_data
-from breachline.llm.secret_scan import fit_forest, scan_secrets
+from breachline.llm.secret_scan import find_candidates, fit_forest, scan_secrets
 from breachline.llm.spans import add_matches
 
 SF = "/root/testdata/sf0.001"
@@ -117,6 +118,68 @@ def test_forest_on_held_back_documents(spark):
     assert planted and right >= 0.9 * planted and right >= 0.9 * found
 
 
+def candidate_spans(text):
+    """Runs of 16 and more (without ``name=``), and quoted values that hold no such run."""
+    run, out = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}"), []
+    for m in run.finditer(text):
+        named = re.match(r"[A-Za-z][A-Za-z0-9_.-]*=(?=[^=].{15,})", m[0])
+        out.append((m.start() + (named.end() if named else 0), m.end()))
+    for m in re.finditer(r"[=:][\x20\t]{0,4}(\"[^\"\r\n]+\"|'[^'\r\n]+')", text):
+        if not run.search(m[1][1:-1]):
+            out.append((m.start(1) + 1, m.end(1) - 1))
+    return sorted(out)
+
+
+def test_candidates_equal_brute_force(spark):
+    rng = random.Random(8)
+    parts = ['"', "'", " = ", "=", ": ", "\n", " ", "a", "Zx9", "key", "é", "🙂", "abcdefgh12345678", "p w!", "\t", "/", "\r"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(800)]
+    texts += ["", 'password = "S3cr3t!pw"', "TOKEN=0123456789abcdef0123", '="' * 20_000, "='" * 9_999 + '"x']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in find_candidates(docs, "doc_id", "text").collect():
+        assert [(c.start, c.stop) for c in r.candidates] == candidate_spans(texts[r.id]), texts[r.id][:200]
+
+
+def test_forest_on_injected_secrets(spark):
+    """Names, values and lines of the cases are not those the findings are built from."""
+    rng = random.Random(5)
+    prose = ["The river runs past the mill", "we met at noon and left", "Configuration of the service follows", "see below"]
+    plain = string.ascii_letters + string.digits
+
+    def some(n, letters=plain):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    texts, secret = [], []
+
+    def add(head, value, tail, is_secret):
+        head = rng.choice(prose) + rng.choice([" ", "\n", ". "]) + head
+        texts.append(head + value + tail + " " + rng.choice(prose))
+        secret.append(f"{len(head)}:{len(head) + len(value)}" if is_secret else None)
+
+    for _ in range(40):
+        add('user_password = "', some(rng.randint(8, 12), plain + "!@#$%^&*"), '"', True)
+        add("client_secret: '", some(32), "'", True)
+        add('"db_passwd": "', rng.choice(["Monday", "Garden", "Berlin"]) + some(3, "123456789") + "!", '",', True)
+        add("export ACCESS_TOKEN=", some(40, "0123456789abcdef"), "", True)
+        add("key is ", "ghp_" + some(36), " ok", True)
+        add("Authorization: Bearer ", some(48), "", True)
+        add("commit ", some(40, "0123456789abcdef"), " fixes it", False)
+        add("sha256sum: ", some(64, "0123456789abcdef"), "", False)
+        add('placeholder="', rng.choice(["Enter your name", "Search here", "E-mail"]), '"', False)
+        add('password = "', rng.choice(["<your password>", "changeme", "${DB_PASSWORD}"]), '"', False)
+        add('href="', rng.choice(["/docs/guide/install.html", "https://www.cities.net/map/7"]), '"', False)
+        add("token = ", rng.choice(["request.session.get_token", "read_token_from_config"]), "()", False)
+        add("no ", some(18, "0123456789"), " on", False)
+        add("call ", rng.choice(["internationalization", "compareDocumentPosition"]), " twice", False)
+    model = fit_forest(spark.read.parquet(f"{SF2}/documents.parquet"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = right = 0
+    for r in scan_secrets(docs, model).collect():
+        spans = [x for x in r.secrets.split(",") if x]
+        found, right = found + len(spans), right + (secret[r.doc_id] in spans)
+    assert right >= 0.9 * sum(s is not None for s in secret) and right >= 0.9 * found
+
+
 def test_forest_from_labelled_findings(spark):
     rows = [(i, f'api_key = "{hashlib.sha1(str(i).encode()).hexdigest()}" and internationalization{i}') for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
