@@ -86,6 +86,54 @@ def test_learned_spans(spark, judge):
     assert got[4] == "mail [email] and call [phone]"
 
 
+def test_learned_spans_on_injected_cases(spark, judge):
+    rng = random.Random(4)
+
+    def card(right):
+        while True:
+            digits = [rng.randrange(10) for _ in range(16)]
+            if luhn(digits) == right:
+                return "".join(map(str, digits))
+
+    def fours(number, sign):
+        return sign.join(number[i : i + 4] for i in range(0, 16, 4))
+
+    def phone(form):
+        return form.format(rng.randint(201, 989), rng.randint(200, 999), rng.randint(0, 9999))
+
+    texts, wanted = [], []
+
+    def add(before, value, after, kind):
+        texts.append(before + value + after)
+        wanted.append(kind and f"{kind}:{len(before)}:{len(before) + len(value)}")
+
+    for _ in range(30):
+        name = rng.choice(["maria.lopez", "j_smith", "info", "k.tanaka88", "office"])
+        host = rng.choice(["example", "north-mill", "unimail", "gardenia"])
+        add("write to ", f"{name} [at] {host} [dot] org", " please", "email")
+        add("the office is ", f"{name}(at){host}.co.uk", "", "email")
+        add("ask ", f"{name} @ {host}.net", " for it", "email")
+        add("my number: ", phone("{}-{}-{:04d}"), " until six", "phone")
+        add("ring ", phone("({}) {} {:04d}"), ", ask for Ann", "phone")
+        add("paid by ", fours(card(True), rng.choice([".", " / "])), " today", "card")
+        add("seen at ", " . ".join(str(rng.randrange(256)) for _ in range(4)), " again", "ip")
+        add("seen at ", ":".join(f"{rng.randrange(4096, 65536):x}" for _ in range(8)), " again", "ip")
+        add("scores of ", ", ".join(str(rng.randrange(200)) for _ in range(4)), " points", None)
+        add("lunch ", f"@ {rng.randint(1, 12)}.{rng.randint(10, 59)}", " today", None)
+        add("account ", fours(card(False), " "), " closed", None)
+        add("number ", fours(card(False), "."), "", None)
+        add("order ", phone("{}-{}-{:04d}"), " shipped", None)
+        add("took ", ":".join(str(rng.randint(10, 59)) for _ in range(4)), " in all", None)
+        add("in ", f"{rng.randint(1900, 2030)}-10-{rng.randint(10, 28)}", " it rained", None)
+        add("release ", f"{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 20)}", " is out", None)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = right = 0
+    for r in scan_personal_data(docs, judge).collect():
+        spans = [x for x in r.spans.split(",") if x]
+        found, right = found + len(spans), right + (wanted[r.doc_id] in spans)
+    assert right >= 0.9 * sum(w is not None for w in wanted) and right >= 0.9 * found
+
+
 def test_scans_of_empty_and_odd_tables(spark):
     shape = "doc_id bigint, text string, candidates int, base_email string, id string, value string"
     rows = [(None, None, 1, "x", "y", "z"), (1, "", None, None, None, None), (1, "", None, None, None, None)]
