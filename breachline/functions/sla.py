@@ -38,6 +38,12 @@ def stable_fold(*key: Column, folds: int = 5, seed: int = 42) -> Column:
     return (F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % folds).cast("int")
 
 
+def stable_share(*key: Column, seed: int = 42) -> Column:
+    """A share in [0, 1) that depends on the row's key only; its digits are not the fold's."""
+    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key], F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 8, 7), 16, 10).cast("double") / float(1 << 28)
+
+
 def priority_level(probability: Column, threshold: float) -> Column:
     return (
         F.when(probability >= 0.75, "CRÍTICA")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -9,15 +10,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from breachline.operators.joins import attach
 from breachline.operators.ordering import global_row_index
-from breachline.settings import SEED, cut
+from breachline.settings import BROADCAST_BYTES, SEED, cut
 
 BLOCK_ROWS = 1024
+#: Parts a block is cut into at most, per round.
+FAN = 4
 _NEAR = "i long, near array<struct<d: double, foreign: boolean, j: long>>"
 
 
 def _nearest(own: pd.DataFrame, other: pd.DataFrame, k: int, foreign: bool) -> pd.DataFrame:
     """The k nearest ``other`` rows of every ``own`` row; equal distances go to the least index."""
+    if own.empty or other.empty:
+        return pd.DataFrame({"i": own["i"], "near": pd.Series([[]] * len(own), own.index, object)})
     other = other.sort_values("i")
     x, y = np.stack(own["x"].to_numpy()), np.stack(other["x"].to_numpy())
     i, j = own["i"].to_numpy(), other["i"].to_numpy()
@@ -34,65 +40,104 @@ def _nearest(own: pd.DataFrame, other: pd.DataFrame, k: int, foreign: bool) -> p
     return pd.DataFrame({"i": i, "near": found})
 
 
-def nearest_neighbours(
-    points: DataFrame, k: int = 5, axis: Column | None = None, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Exact k nearest neighbours of ``points(key, x)`` as (i, x, near): index, vector, neighbours.
+def _bounds(columns: Sequence[tuple[Column, Column]]) -> list[Column]:
+    """Least and greatest value per coordinate, NaN left out."""
+    low = F.array(*[F.min(F.when(~F.isnan(a), a)) for a, _ in columns])
+    high = F.array(*[F.max(F.when(~F.isnan(b), b)) for _, b in columns])
+    return [low.alias("low"), high.alias("high")]
+
+
+def space_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int, int]:
+    """``points(key, x)`` as (i, key, x, block), with the cuts per round and the rounds.
 
-    Points are cut into blocks of equal size along one coordinate. Neighbours inside the own
-    block bound how far better ones can lie, because two points are at least as far apart as
-    their coordinates; only blocks within that reach are compared, block by block. A task
-    therefore never holds more than two blocks, and gives back k rows per point.
+    Every round cuts each block into ``fan`` equal parts along the coordinate in which its
+    points vary most, so after some rounds blocks are small in all coordinates that matter.
+    Parts are equal because they are cut by position in the order of (block, coordinate, key);
+    copies of one point are spread over several blocks. ``block // fan`` is the block before.
     """
-    axis = F.element_at("x", 1) if axis is None else axis
-    placed = global_row_index(points.withColumn("a", axis), [F.col("a"), F.col("key")], "i")
-    placed = cut(placed.withColumn("block", F.floor(F.col("i") / block_rows).cast("long")), "points")
-    inside = cut(
-        placed.select("block", "i", "x")
-        .groupBy("block")
-        .applyInPandas(lambda pdf: _nearest(pdf, pdf, k, False), _NEAR),
-        "near-inside",
-    )
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).first()
+    n, width = size["n"], size["width"] or 1
+    blocks = max(1, math.ceil(n / block_rows))
+    rounds = max(1, math.ceil(math.log(blocks, FAN) - 1e-9))
+    fan = max(1, math.ceil(blocks ** (1 / rounds) - 1e-9))
+    placed = cut(points.select("key", "x", F.lit(0).cast("long").alias("block")), "points")
+    for cuts in range(1, rounds + 1):
+        spread = F.array(*[F.coalesce(F.var_pop(F.col("x")[c]), F.lit(0.0)) for c in range(width)])
+        axes = placed.groupBy("block").agg(spread.alias("v")).select(
+            "block", F.array_position("v", F.array_max("v")).cast("int").alias("axis")
+        )
+        along = attach(placed, axes, "block").withColumn("a", F.element_at("x", F.col("axis")))
+        order = [F.col("block"), F.col("a"), F.col("key")]
+        ranked = global_row_index(along.select("key", "x", "block", "a"), order, "i")
+        part = F.expr(f"i * {fan**cuts} div {max(n, 1)}")
+        placed = cut(ranked.select("i", "key", "x", part.alias("block")), "points")
+    return placed, fan, rounds
 
-    limit = F.when(F.size("near") < k, F.lit(float("inf"))).otherwise(F.element_at("near", -1)["d"])
-    reach = placed.join(inside.select("i", limit.alias("r")), "i").where("r > 0")
-    asking = reach.groupBy("block").agg(
-        F.min(F.col("a") - F.col("r")).alias("low"), F.max(F.col("a") + F.col("r")).alias("high")
+
+def reached_blocks(asking: DataFrame, placed: DataFrame, fan: int, rounds: int) -> DataFrame:
+    """The blocks a point's sphere reaches: ``asking(i, x, r, block)`` as (i, x, block).
+
+    Points walk down the cuts: at each round only parts stay whose box is nearer than ``r``.
+    The own block is left out.
+    """
+    width = placed.agg(F.max(F.size("x"))).first()[0] or 1
+    coordinates = [F.col("x")[c] for c in range(width)]
+    leaves = placed.groupBy("block").agg(*_bounds([(c, c) for c in coordinates]))
+    level = F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("level")
+    up = F.element_at(F.array(*[F.lit(fan ** (rounds - k)) for k in range(1, rounds + 1)]), F.col("level"))
+    tree = leaves.select("*", level).withColumn("node", F.floor(F.col("block") / up).cast("long"))
+    sides = [(F.col("low")[c], F.col("high")[c]) for c in range(width)]
+    tree = cut(tree.groupBy("level", "node").agg(*_bounds(sides)), "boxes")
+
+    gaps = F.zip_with(
+        "x", F.arrays_zip("low", "high"),
+        lambda a, s: F.greatest(s["low"] - a, a - s["high"], F.lit(0.0)),
     )
-    spans = cut(placed.groupBy("block").agg(F.min("a").alias("first"), F.max("a").alias("last")))
-    whole = spans.agg(
-        F.struct(
-            F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("n")
+    distance = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g))
+    at = asking.select("i", "x", "r", "block", F.lit(0).cast("long").alias("at"))
+    for cuts in range(1, rounds + 1):
+        parts = tree.where(F.col("level") == cuts).select(
+            F.floor(F.col("node") / fan).cast("long").alias("at"), "node", "low", "high"
+        )
+        # the rows of a round are at most fan ** cuts, of known size; later ones are joined by shuffle
+        if fan**cuts * (16 * width + 64) <= BROADCAST_BYTES:
+            parts = F.broadcast(parts)
+        at = at.join(parts, "at").where(distance < F.col("r")).select(
+            "i", "x", "r", "block", F.col("node").alias("at")
         )
-    ).scalar()
-    width = F.greatest((whole["last"] - whole["first"]) / whole["n"], F.lit(1e-300))
+    return at.where("at <> block").select("i", "x", F.col("at").alias("block"))
 
-    def cell(value: Column) -> Column:
-        inner = F.greatest(whole["first"], F.least(whole["last"], value))
-        return F.floor((inner - whole["first"]) / width)
 
-    def cells(low: Column, high: Column) -> Column:
-        return F.explode(F.sequence(cell(low), cell(high))).alias("cell")
+def nearest_neighbours(points: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Exact k nearest neighbours of ``points(key, x)`` as (i, key, x, near): place, vector, neighbours.
 
-    asked = asking.select("*", cells(F.col("low"), F.col("high")))
-    offered = spans.select(
-        F.col("block").alias("other"), "first", "last", cells(F.col("first"), F.col("last"))
-    )
-    pairs = cut(
-        asked.join(offered, "cell")
-        .where("other <> block AND first < high AND last > low")
-        .select("block", "other")
-        .distinct(),
-        "block-pairs",
+    Space is cut into blocks of equal size (``space_blocks``). Neighbours inside the own block
+    bound how far better ones can lie; a point is only compared with further blocks whose box
+    its sphere reaches. A block meets its visitors in shares of about ``block_rows``, so a
+    task holds two blocks at most however many points reach one, and k rows per point come
+    back. With many independent coordinates most boxes are within reach of most points: the
+    result stays exact, and the work grows towards all pairs of blocks.
+    """
+    placed, fan, rounds = space_blocks(points, block_rows)
+    inside = cut(
+        placed.select("block", "i", "x")
+        .groupBy("block")
+        .applyInPandas(lambda pdf: _nearest(pdf, pdf, k, False), _NEAR),
+        "near-inside",
     )
-    rows = placed.select("block", "i", "x")
-    own = rows.join(pairs, "block")
-    other = rows.select(
-        F.col("block").alias("other"), F.col("i").alias("i"), F.col("x").alias("x")
-    ).join(pairs.select(F.col("block").alias("block"), F.col("other").alias("other")), "other")
+    limit = F.when(F.size("near") < k, F.lit(float("inf"))).otherwise(F.element_at("near", -1)["d"])
+    asking = placed.join(inside.select("i", limit.alias("r")), "i").where("r > 0")
+    reached = cut(reached_blocks(asking, placed, fan, rounds), "reached")
+    shares = cut(reached.groupBy("block").agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("long").alias("shares")
+    ), "shares")
+    share = F.pmod(F.xxhash64("i"), F.col("shares")).alias("share")
+    own = attach(reached, shares, "block", settled=True).select("block", share, "i", "x")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)
+    other = placed.join(shares, "block").select("block", F.explode(numbers).alias("share"), "i", "x")
     outside = (
-        own.groupBy("block", "other")
-        .cogroup(other.groupBy("block", "other"))
+        own.groupBy("block", "share")
+        .cogroup(other.groupBy("block", "share"))
         .applyInPandas(lambda a, b: _nearest(a, b, k, True), _NEAR)
     )
     # a nearer point wins; at equal distance the own block does, so copies share the load
@@ -126,16 +171,14 @@ def smote(
     counts = rows.agg(
         F.count_if(F.col("y") == 0).alias("neg"),
         F.count_if(F.col("y") == 1).alias("pos"),
-        *[F.coalesce(F.var_pop(F.col("x")[c]), F.lit(0.0)).alias(f"v{c}") for c in range(len(features))],
     ).first()
     original = rows.select("key", "y", "x", F.lit(False).alias("synthetic"))
     missing = max(counts["neg"] - counts["pos"], 0)
     if missing == 0 or counts["pos"] < 2:
         return _unpacked(original, features, key, target)
 
-    widest = max(range(len(features)), key=lambda c: counts[f"v{c}"])
     points = rows.where(F.col("y") == 1).select("key", "x")
-    near = cut(nearest_neighbours(points, k, F.col("x")[widest], block_rows), "neighbours")
+    near = cut(nearest_neighbours(points, k, block_rows), "neighbours")
     each, more = divmod(missing, counts["pos"])
     copies = F.lit(each) + (F.col("i") < more).cast("int")
     made = (

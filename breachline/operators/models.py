@@ -17,6 +17,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from breachline.functions.sla import stable_share
 from breachline.operators.evaluation import ranking_metrics
 from breachline.operators.joins import attach
 from breachline.operators.ordering import expanding_folds, fold_roles, union_all
@@ -216,9 +217,8 @@ def baselines(
     Chance comes from a hash of the key. ``score`` is the decision itself.
     """
     rate = train.agg(F.avg(target)).scalar()
-    chance = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
     decisions = {
-        "stratified": (chance < rate).cast("int"),
+        "stratified": (stable_share(F.col(key), seed=seed) < rate).cast("int"),
         "most_frequent": (rate > 0.5).cast("int"),
         "constant_1": F.lit(1),
     }

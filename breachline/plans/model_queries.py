@@ -17,7 +17,7 @@ from breachline.operators import splitting as L
 from breachline.operators.ordering import union_all
 from breachline.operators.scoring import score_requests
 from breachline.plans import pipelines
-from breachline.plans.feature_queries import COLS, GOLD, gold
+from breachline.plans.feature_queries import COLS, GOLD, SPLITS, gold
 from breachline.plans.fixture import fixture_lookup, rounded, silver, splits, table
 from breachline.plans.registry import query
 from breachline.settings import cut, work_path
@@ -77,10 +77,20 @@ def _forest(spark, sf_dir):
     return spark.read.parquet(data), M.load_model(spark, path)[0]
 
 
-@query()
+@query(
+    f"""WITH {SPLITS}, r AS (SELECT avg(target) AS rate FROM splits WHERE split = 'train' AND target IS NOT NULL),
+v AS (SELECT target AS y, CAST('0x' || substr(md5(CAST(request_key AS VARCHAR) || '|42'), 8, 7) AS BIGINT) / 268435456.0 AS chance
+  FROM splits WHERE split = 'val' AND target IS NOT NULL),
+p AS (SELECT 'stratified' AS model, y, CAST(chance < rate AS INTEGER) AS yhat FROM v, r
+  UNION ALL SELECT 'most_frequent', y, CAST(rate > 0.5 AS INTEGER) FROM v, r UNION ALL SELECT 'constant_1', y, 1 FROM v),
+q AS (SELECT model, count_if(y = 0 AND yhat = 0) AS tn, count_if(y = 0 AND yhat = 1) AS fp, count_if(y = 1 AND yhat = 0) AS fn,
+  count_if(y = 1 AND yhat = 1) AS tp FROM p GROUP BY model)
+SELECT *, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM q"""
+)
 def baseline_metrics(spark, sf_dir):
     df = judged_splits(spark, sf_dir)
-    return V.classification_metrics(M.baselines(part(df, "train"), part(df, "val"), "request_key"))
+    return rounded(V.classification_metrics(M.baselines(part(df, "train"), part(df, "val"), "request_key")))
 
 
 @query(
@@ -264,13 +274,30 @@ def stored_forest_scores(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(differ).alias("differ"))
 
 
+def _linear(spark, sf_dir):
+    """The logistic model on one-hot and scaled features, with its training and validation rows."""
+    scaled = linear_splits(spark, sf_dir)
+    train = part(scaled, "train")
+    return M.fit_logistic(train, LINEAR), train, part(scaled, "val")
+
+
 @query()
 def linear_contribution_importance(spark, sf_dir):
-    df = judged_splits(spark, sf_dir)
-    scaled = cut(E.standardize(part(df, "train"), df, FEATURES), "scaled")
-    model = M.fit_logistic(part(scaled, "train"), FEATURES)
-    parts = I.linear_contributions(model, part(scaled, "train"), part(scaled, "val"), "request_key")
-    return I.mean_abs_contribution(parts)
+    model, train, val = _linear(spark, sf_dir)
+    return I.mean_abs_contribution(I.linear_contributions(model, train, val, "request_key"))
+
+
+@query(
+    f"""WITH {GOLD}
+SELECT count(*) AS explained, CAST(0 AS DOUBLE) AS gap
+FROM splits s JOIN gold USING (request_key) WHERE s.split = 'val' AND s.target IS NOT NULL"""
+)
+def linear_contributions_add_up(spark, sf_dir):
+    """A row's linear contributions sum to its log-odds less those of the mean training row."""
+    model, train, val = _linear(spark, sf_dir)
+    gaps = I.linear_gaps(model, train, val, "request_key")
+    gap = F.max(F.abs(F.col("explained") - F.col("difference")))
+    return gaps.agg(F.count(F.lit(1)).alias("explained"), F.round(gap, 9).alias("gap"))
 
 
 @query()

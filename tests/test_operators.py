@@ -396,6 +396,43 @@ def test_neighbours_are_exact_even_with_copies(spark):
         assert r.i not in [n.j for n in r.near]
 
 
+def test_neighbours_reach_few_blocks_in_five_dimensions(spark):
+    """Five equally wide coordinates of a curved surface: no single one prunes, the cuts do."""
+    rng = np.random.default_rng(5)
+    reach = {}
+    for n in (1024, 4096):
+        u, v = rng.random(n), rng.random(n)
+        x = np.stack([u, v, (u + v) / 2, (np.sin(3 * u) + 1) / 2, (np.cos(3 * v) + 1) / 2], axis=1)
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "key long, x array<double>")
+        placed, fan, rounds = B.space_blocks(df, 64)
+        placed = placed.cache()
+        sizes = [r["count"] for r in placed.groupBy("block").count().collect()]
+        assert len(sizes) >= n // 64 and max(sizes) <= 64
+        near = {r.key: [m.d for m in r.near] for r in B.nearest_neighbours(df, 5, 64).collect()}
+        r = {k: d[-1] for k, d in near.items()}
+        asking = placed.join(spark.createDataFrame(list(r.items()), "key long, r double"), "key")
+        reach[n] = B.reached_blocks(asking, placed, fan, rounds).count() / n
+        for i in range(0, n, 97):
+            want = np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[1:6]
+            assert np.allclose(near[i], want)
+    # 4 x 4 and 8 x 8 blocks of the surface: those at the edge have fewer neighbours, so corners
+    # per block rise by (49 / 64) / (9 / 16) = 1.36; all pairs of blocks would rise by 4.2
+    assert reach[1024] < 2 and reach[4096] < 1.36 * reach[1024]
+
+
+def test_neighbours_of_few_or_incomplete_points(spark):
+    schema = "key long, x array<double>"
+    assert B.nearest_neighbours(spark.createDataFrame([], schema), 5, 4).count() == 0
+    few = B.nearest_neighbours(spark.createDataFrame([(i, [float(i)]) for i in range(3)], schema), 5, 1).collect()
+    assert sorted(len(r.near) for r in few) == [2, 2, 2]
+    odd = [(i, [float(i % 13), float(i)]) for i in range(40)] + [(40, [float("nan"), 1.0]), (41, [float("nan"), 2.0])]
+    got = {r.key: [n.d for n in r.near] for r in B.nearest_neighbours(spark.createDataFrame(odd, schema), 3, 8).collect()}
+    x = np.array([r[1] for r in odd[:40]])
+    assert got[40] == got[41] == []
+    for i in range(40):
+        assert np.allclose(got[i], np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[1:4])
+
+
 def test_smote_balances_between_neighbours(spark):
     df = spark.range(200).select(
         "id", (F.col("id") % 5 == 0).cast("int").alias("target"), (F.col("id") * 1.0).alias("a"), (F.col("id") % 7 * 1.0).alias("b")
