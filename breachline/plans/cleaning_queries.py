@@ -325,7 +325,7 @@ def two_level_fallback(spark, sf_dir):
     from breachline.operators.statistics import group_count, group_median
 
     df = requests(spark, sf_dir, ["request_key", "incident_zip", "created_ts", "returnflag"])
-    df = df.withColumn("day", F.to_date("created_ts"))
+    df = cut(df.withColumn("day", F.to_date("created_ts")), "requests")
     known = df.where((F.col("returnflag") != "R") & F.col("incident_zip").isNotNull())
     daily = cut(group_count(known, ["incident_zip", "day"], "volume"))
     joined = J.join_two_level_fallback(

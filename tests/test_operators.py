@@ -498,3 +498,16 @@ def test_salts_come_from_all_columns(spark):
 
     df = spark.range(1000).selectExpr("'hot' AS k", "1 AS constant", "CAST(id AS STRING) AS text")
     assert df.select((_spread(df, ["k"]) % 16).alias("s")).distinct().count() == 31
+
+
+def test_only_hot_keys_have_copies(spark, monkeypatch):
+    monkeypatch.setattr(J.hot_keys, "__defaults__", (500,))
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    table = spark.range(2000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = J.attach_salted(df, table, "k")
+    assert sorted(rows(joined.select("id", "v"))) == [(i, 0 if i % 2 == 0 else i * 2) for i in range(2000)]
+    assert rows(J.hot_keys(df, ["k"])) == [(0, True)]
+    copied = J.attach_salted(df, table, "k", counted=df.where("k <> 0"))  # no key is hot here
+    plan = copied._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 15" not in plan and "_hot" not in plan
+    assert sorted(rows(copied.select("id", "v"))) == sorted(rows(joined.select("id", "v")))
