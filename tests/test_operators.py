@@ -13,6 +13,7 @@ from breachline.operators import dashboards as D
 from breachline.operators import encoding as E
 from breachline.operators import evaluation as V
 from breachline.operators import joins as J
+from breachline.operators import models as M
 from breachline.operators import ordering as O
 from breachline.operators import profiles as P
 from breachline.operators import splitting as L
@@ -511,3 +512,16 @@ def test_only_hot_keys_have_copies(spark, monkeypatch):
     plan = copied._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(0, 15" not in plan and "_hot" not in plan
     assert sorted(rows(copied.select("id", "v"))) == sorted(rows(joined.select("id", "v")))
+
+
+def test_partitions_of_an_ensemble_follow_cores_not_the_shuffle_width(spark, monkeypatch):
+    df = spark.range(4000).selectExpr("CAST(id AS DOUBLE) AS x", "id % 2 AS target")
+    monkeypatch.setattr(M, "PARTITION_ROWS", 250)
+    assert M.assembled(df, ["x"], "target").rdd.getNumPartitions() == 16
+    monkeypatch.undo()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        assert M.assembled(df, ["x"], "target").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
