@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import free_name, numbered, ordered, pieces, shingle_hashes, utf8
+from breachline.llm.common import free_name, numbered, ordered, pieces, shingle_hashes, shuffled, utf8
 from breachline.llm.components import components
 from breachline.settings import cut
 
@@ -161,7 +161,7 @@ def close_links(fps: DataFrame, compared: int = COMPARED) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.min("fp").alias("least"),
             F.bit_count(F.expr("bit_or(fp) & ~bit_and(fp)")).alias("varying"),
         ).where("n > 1")
-        shared = cut(keyed.join(sizes, ["free", "key"]), "blocks")
+        shared = cut(keyed.join(shuffled(sizes), ["free", "key"]), "blocks")
         tight = F.col("varying") <= DISTANCE
         found = _stars(shared.where(tight)).union(
             _block_links(shared.where(~tight & (F.col("n") <= compared)), DISTANCE)
@@ -185,12 +185,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = cut(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = cut(marked.groupBy("fp").agg(F.min("who").alias("who")), "nodes")
     grouped = components(close_links(nodes.select("fp")))
-    rooted = nodes.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select(
+    rooted = nodes.join(shuffled(grouped.withColumnRenamed("node", "fp")), "fp", "left").select(
         "fp", "who", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("who").alias("least"))
-    classes = cut(rooted.join(least, "root").select("fp", "least"), "classes")
-    return marked.join(classes, "fp").select(
+    classes = cut(rooted.join(shuffled(least), "root").select("fp", "least"), "classes")
+    return marked.join(shuffled(classes), "fp").select(
         F.col("who.id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("least.id").alias("component_id"),

@@ -7,11 +7,13 @@ import numpy as np
 import pytest
 import xxhash
 
+from breachline.llm import simhash
 from breachline.llm.components import components
 from breachline.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from breachline.llm.simhash import (
     close_links, drop_near_duplicates, majority_bits, near_duplicates, shingle_hashes,
 )
+from breachline.settings import cut
 
 SHAPE = "doc_id bigint, text string, lang string, digest string, row_number int"
 ROWS = [
@@ -144,6 +146,21 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
 
 
+def test_exploded_blocks_are_not_broadcast(docs, monkeypatch):
+    plans = []
+
+    def planned(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return cut(df, name)
+
+    monkeypatch.setattr(simhash, "cut", planned)
+    result = near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    of = {name: plan for name, plan in plans if name in ("blocks", "classes")}
+    assert len(of) == 2
+    for plan in [*of.values(), result]:
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_drop_near_duplicates_keeps_one_row(docs):
     kept = drop_near_duplicates(docs)
     assert kept.columns == docs.columns
