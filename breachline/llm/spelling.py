@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breachline.llm.common import pieces, text_of
+from breachline.llm.common import pieces, shuffled, text_of
 from breachline.operators.joins import attach
 from breachline.settings import cut
 
@@ -39,6 +39,9 @@ PARTS = 7
 #: Words that share a signature are compared as they are up to this number.
 COMPARED = 200
 
+#: Words with a form are broadcast up to so many stored bytes, in memory some ten times as many.
+STEP_BYTES = 4 << 20
+
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _MASK = (1 << 64) - 1
@@ -146,7 +149,7 @@ def _crowds(rows: DataFrame) -> DataFrame:
     )
     # words of equal length share SAME keys; other keys need both a shorter and a longer word
     useful = (F.col("members") > 1) & ((F.col("most") == SAME) | (F.col("least") != F.col("most")))
-    return rows.join(sizes.where(useful).select("key", "members"), "key")
+    return rows.join(shuffled(sizes.where(useful).select("key", "members")), "key")
 
 
 def _halves(rows: DataFrame) -> DataFrame:
@@ -177,7 +180,7 @@ def _verified(rows: DataFrame) -> DataFrame:
         F.col("word").alias("b"), F.col("n").alias("b_n"),
     )
     either = (F.col("role") == SHORT) | (F.col("a") < F.col("b"))
-    joined = a.join(b, ["key", "role"]).where(either & (F.levenshtein("a", "b", 1) == 1))
+    joined = a.join(shuffled(b), ["key", "role"]).where(either & (F.levenshtein("a", "b", 1) == 1))
     return joined.select("a", "a_n", "b", "b_n")
 
 
@@ -218,7 +221,7 @@ def variants(words: DataFrame, ratio: int = RATIO, parts: int = PARTS, compared:
         F.min(F.struct((-F.col("other_n")).alias("down"), F.col("other").alias("form"))).alias("best"),
     )
     strong = -F.col("best.down") >= F.col("n") * ratio
-    known = cut(words.join(best, "word", "left").select(
+    known = cut(words.join(shuffled(best), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
         F.when(strong, F.col("best.form")).alias("form"),
         F.when(strong, -F.col("best.down")).alias("form_n"),
@@ -226,13 +229,13 @@ def variants(words: DataFrame, ratio: int = RATIO, parts: int = PARTS, compared:
     steps = cut(known.where("form is not null").select("word", F.col("form").alias("root")), "steps")
     while True:  # every round doubles the steps taken
         further = steps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = cut(attach(steps, further, "root", settled=True).select(
+        moved = cut(attach(steps, further, "root", max_bytes=STEP_BYTES, settled=True).select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
         ), "steps")
         steps = moved.select("word", "root")
         if moved.where("moved").isEmpty():
             break
-    return known.join(steps, "word", "left").select(
+    return known.join(shuffled(steps), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

@@ -16,7 +16,10 @@ from breachline.llm.fill_middle import (
     UNITS, Cutter, Markers, WaveletMatrix, draws, fill_middle, restored, symbols,
 )
 from breachline.llm.sentence_pieces import PieceCoder, encode_pieces
-from breachline.llm.spelling import near_words, spelling_variants, variants, word_counts
+from breachline.llm.spelling import (
+    PARTS, _crowds, _signed_rows, _verified, near_words, spelling_variants, variants, word_counts,
+)
+from breachline.settings import cut
 
 SF = "/root/testdata/sf0.001"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -105,6 +108,14 @@ def test_crowded_signatures_lose_no_pair(spark):
     assert {frozenset((r.a, r.b)) for r in got} == want and len(got) == len(want)
 
 
+def test_signatures_are_not_broadcast(spark):
+    words = cut(spark.createDataFrame([("lantern", 9), ("lanterns", 50), ("lantarn", 5)], "word string, n bigint"))
+    rows = _crowds(_signed_rows(words, PARTS))
+    for joined in (rows, _verified(rows)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_words_of_odd_rows(spark, odd):
     rows = [(i, t) for i, t, *_ in ODD]
     got = {r.word: r.n for r in word_counts(odd, min_length=1, min_count=1).collect()}
