@@ -361,7 +361,7 @@ SELECT agency, count_if(split = 'train') AS train, count_if(split = 'val') AS va
        count_if(split = 'test') AS test FROM splits GROUP BY agency"""
 )
 def agency_counts_by_split(spark, sf_dir):
-    return J.outer_join_counts(splits(spark, sf_dir), "agency", "split", ["train", "val", "test"])
+    return J.outer_join_counts(splits(spark, sf_dir, ["agency"]), "agency", "split", ["train", "val", "test"])
 
 
 # ---- de-duplication and sets -----------------------------------------------------------

@@ -57,7 +57,7 @@ SELECT split, count(*) AS requests,
 FROM splits GROUP BY split"""
 )
 def kpis_by_split(spark, sf_dir):
-    return rounded(D.kpi_summary(splits(spark, sf_dir), ["split"], agency="agency"))
+    return rounded(D.kpi_summary(splits(spark, sf_dir, ["agency", "target", "penalty_charged"]), ["split"], agency="agency"))
 
 
 @query(
@@ -105,7 +105,7 @@ SELECT split, count_if(target = 0) AS n_neg, count_if(target = 1) AS n_pos, roun
 FROM splits GROUP BY split"""
 )
 def class_balance(spark, sf_dir):
-    return rounded(D.class_balance(splits(spark, sf_dir)))
+    return rounded(D.class_balance(splits(spark, sf_dir, ["target"])))
 
 
 @query(
@@ -113,7 +113,7 @@ def class_balance(spark, sf_dir):
 SELECT round(a, 6) AS train_pct, round(b, 6) AS test_pct, round(a - b, 6) AS drift_pp, round((a - b) * 100 / a, 6) AS reduction_pct FROM d"""
 )
 def drift_overall(spark, sf_dir):
-    return rounded(D.drift_overall(splits(spark, sf_dir)))
+    return rounded(D.drift_overall(splits(spark, sf_dir, ["target"])))
 
 
 _DRIFT = """drift AS (SELECT complaint_type, count_if(split = 'train') AS n_train, count_if(split = 'test') AS n_test,
@@ -127,7 +127,7 @@ SELECT complaint_type, n_train, n_test, round(train_pct, 6) AS train_pct, round(
        round(test_pct - train_pct, 6) AS drift_pp FROM drift"""
 )
 def drift_by_type(spark, sf_dir):
-    return rounded(D.drift_by_group(splits(spark, sf_dir), "complaint_type"))
+    return rounded(D.drift_by_group(splits(spark, sf_dir, ["complaint_type", "target"]), "complaint_type"))
 
 
 @query(
@@ -135,7 +135,7 @@ def drift_by_type(spark, sf_dir):
 SELECT count(*) FILTER (WHERE test_pct = 0) AS groups_with_zero_test, round(max(abs(test_pct - train_pct)), 6) AS max_abs_drift_pp FROM drift"""
 )
 def drift_summary(spark, sf_dir):
-    return rounded(D.drift_summary(D.drift_by_group(splits(spark, sf_dir), "complaint_type")))
+    return rounded(D.drift_summary(D.drift_by_group(splits(spark, sf_dir, ["complaint_type", "target"]), "complaint_type")))
 
 
 @query(
@@ -144,7 +144,7 @@ SELECT agency, borough, round(avg(target) * 100, 2) AS rate_pct, count(target) A
 GROUP BY 1, 2 HAVING count(target) >= 100 ORDER BY rate_pct DESC, agency, borough LIMIT 10"""
 )
 def top_risk_groups(spark, sf_dir):
-    train = splits(spark, sf_dir).where(F.col("split") == "train")
+    train = splits(spark, sf_dir, ["agency", "borough", "target"]).where(F.col("split") == "train")
     return D.top_risk_groups(train, ["agency", "borough"])
 
 
