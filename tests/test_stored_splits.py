@@ -1,10 +1,11 @@
-"""What the split queries store and move: only the columns they read."""
+"""What the split queries store and move: only the columns they read, and no array per level."""
 
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from breachline.operators import joins as J
 from breachline.plans import fixture
 from breachline.sources.lookup import inline_lookup
@@ -65,3 +66,12 @@ def test_lookups_of_unknown_size_are_stored_and_broadcast(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "_salt" not in plan
     assert joined.where("sla_days = 5").count() == 100
+
+
+def test_places_of_ones_are_read_from_sparse_vectors(spark, folder):
+    df = entry.queries()["one_hot_vectors"](spark, folder)
+    assert "array_position" not in df._jdf.queryExecution().executedPlan().toString()
+    every = fixture.splits(spark, folder).select("request_key", F.col("incident_zip").cast("string").alias("zip"), "split").collect()
+    levels = sorted({r.zip for r in every if r.split == "train"})
+    want = [(r.request_key, levels.index(r.zip) - 1 if r.zip in levels[1:] else None, len(levels) - 1) for r in every if r.split == "val"]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str) != []
