@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from breachline.operators import joins as J
+from breachline.operators import statistics as S
 from breachline.plans import fixture
 from breachline.sources.lookup import inline_lookup
 
@@ -68,6 +69,13 @@ def test_lookups_of_unknown_size_are_stored_and_broadcast(spark):
     assert joined.where("sla_days = 5").count() == 100
 
 
+def test_global_stats_stand_beside_each_other_without_a_join(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (None,), (-1.0,)], "d double")
+    stats = S.global_stats(df, "d")
+    assert "NestedLoop" not in stats._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in stats.select("global_avg", "global_p75").collect()] == [(2.0, 3.0)]
+
+
 def test_places_of_ones_are_read_from_sparse_vectors(spark, folder):
     df = entry.queries()["one_hot_vectors"](spark, folder)
     assert "array_position" not in df._jdf.queryExecution().executedPlan().toString()
